@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -42,6 +43,8 @@ class Kept:
         self.n += 1
         path = f"{self.at}/{self.n}"
         df.write.parquet(path)
+        gc.collect()  # so that shuffle files go that nothing reads any more
+        self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         return out
