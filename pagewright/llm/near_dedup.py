@@ -24,8 +24,8 @@ from pagewright.llm.links import resolve
 WORDS, NEAR = 5, (75, 100)
 BANDS, ROWS = 48, 6
 PLACES = BANDS * ROWS
-#: Shingles whose permutations are held at a time.
-HELD = 20_000
+#: Shingles whose permutations are held at a time, and bytes of text that are sketched at a time.
+HELD, SLICE = 20_000, 2 << 20
 _M1, _M2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 _R, _LOW = np.uint64(33), np.uint64(0xFFFFFFFF)
 SKETCH = "row long, doc_id long, text_key string, n_shingles long, set_key string, bands array<long>"
@@ -81,7 +81,7 @@ def _draw(hashes: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
         x = mix(hashes + np.uint64(step + 1) * _GOLD)
     rank = (np.uint64(step) << np.uint64(52)) | (x >> np.uint64(12))
     swap = (((x * _GOLD) >> np.uint64(32)) & _LOW) * np.uint64(PLACES - step) >> np.uint64(32)
-    return rank, swap.astype(np.int64) + step
+    return rank, swap.astype(np.int16) + np.int16(step)
 
 
 def signatures(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -94,7 +94,7 @@ def signatures(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     values: list[np.ndarray] = []
     for step in range(6):  # long texts end here, with the few swaps of each shingle looked up
         rank, swap = _draw(own, step)
-        place, moved = swap.copy(), np.full(len(own), step)
+        place, moved = swap.copy(), np.full(len(own), step, np.int16)
         for k, v in zip(swaps, values, strict=True):
             np.copyto(place, v, where=k == swap)
             np.copyto(moved, v, where=k == step)
@@ -150,7 +150,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in text_slices(batch):
+        for piece in text_slices(batch, limit=SLICE):
             hashes, ends = shingles(piece.column("text"))
             sizes = np.diff(ends)
             keys = [xxhash.xxh3_128_hexdigest(hashes[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
@@ -161,7 +161,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in text_slices(batch):
+        for piece in text_slices(batch, limit=SLICE):
             hashes, ends = shingles(piece.column("text"))
             data = pa.array([hashes[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([piece.column("node"), data], names=["node", "shingles"])
