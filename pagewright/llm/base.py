@@ -5,7 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,18 @@ class Kept:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it lasts, rows go to Python in batches of at most so many; for wide rows, in jobs that run at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``limit`` bytes of text; a longer text is a piece of its own, whole."""
     if not batch.num_rows:
@@ -91,3 +104,16 @@ def only(df: DataFrame, **kinds: str) -> DataFrame:
 
 def documents_only(docs: DataFrame) -> DataFrame:
     return only(docs, doc_id="long", text="string")
+
+
+def rows_where(docs: DataFrame, decide: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, with all their columns, for which ``decide`` says so; it gets slices of filled texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start = 0
+            for piece in text_slices(batch.select(["text"])):
+                yield batch.slice(start, piece.num_rows).filter(pa.array(decide(piece)))
+                start += piece.num_rows
+
+    return docs.mapInArrow(run, docs.schema)

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import Kept, documents_only, table, text_slices
+from pagewright.llm.base import Kept, documents_only, rows_where, table, text_slices
 
 Q, WINDOW, STRIDE, BUDGET = 8, 96, 48, 0.08
 #: Items with fewer letters and digits say nothing about a text.
@@ -178,16 +178,8 @@ def _search(docs: DataFrame, index: Index) -> DataFrame:
     return docs.mapInArrow(run, SCHEMA)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
-    """A row per document: doc_id, items (ids of the benchmark items that it holds a window of, ascending), and
-    first_letter (where the first such window may start, among the text's letters and digits).
-
-    A window of up to 96 letters and digits counts as held if at most 8 % of it is edited; case, blanks and marks
-    don't count. Items of fewer than 24 letters and digits take no part, nor do null ids; repeated items are one.
-    The benchmark is a query set: it is read in blocks of ``block`` items, one pass over the documents each. A null
-    or empty text holds nothing; repeated rows each get a row; an empty table on either side gives no items.
-    """
-    spark = docs.sparkSession
+def indexes_of(benchmark: DataFrame, block: int = ITEM_BLOCK) -> list[Index]:
+    """The benchmark's items in blocks, each as an index; one empty index if there is no item."""
     known = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL").distinct()
     indexes, after = [], None
     while True:
@@ -199,16 +191,48 @@ def find(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -> Data
         if len(rows) < block:
             break
         after = tuple(rows[-1])
+    return indexes
+
+
+def find(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
+    """A row per document: doc_id, items (ids of the benchmark items that it holds a window of, ascending), and
+    first_letter (where the first such window may start, among the text's letters and digits).
+
+    A window of up to 96 letters and digits counts as held if at most 8 % of it is edited; case, blanks and marks
+    don't count. Items of fewer than 24 letters and digits take no part, nor do null ids; repeated items are one.
+    The benchmark is a query set: it is read in blocks of ``block`` items, one pass over the documents each. A null
+    or empty text holds nothing; repeated rows each get a row; an empty table on either side gives no items.
+    """
+    indexes = indexes_of(benchmark, block)
     rows = documents_only(docs).withColumn("row", F.monotonically_increasing_id())
     if len(indexes) == 1:
         return _search(rows, indexes[0]).select("doc_id", "items", F.get("letters", F.lit(0)).alias("first_letter"))
-    kept = Kept(spark)
+    kept = Kept(docs.sparkSession)
     rows = kept.write(rows)
     parts = [kept.write(_search(rows, index).filter(F.size("items") > 0).select("row", "items", "letters")) for index in indexes]
     found = reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_min(F.flatten(F.collect_list("letters"))).alias("first_letter"))
     return rows.select("row", "doc_id").join(found, "row", "left").select("doc_id", F.coalesce("items", F.array().cast("array<long>")).alias("items"), "first_letter")
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, block: int = ITEM_BLOCK) -> DataFrame:
+    """The rows, with all their columns, that hold no benchmark item; blocks of items after each other."""
+    kept = Kept(docs.sparkSession)
+    for i, index in enumerate(indexes_of(benchmark, block)):
+        docs = _clean(kept.write(docs) if i else docs, index)
+    return docs
+
+
+def _clean(docs: DataFrame, index: Index) -> DataFrame:
+    held = docs.sparkSession.sparkContext.broadcast(index)
+
+    def decide(piece: pa.RecordBatch) -> np.ndarray:
+        out = np.ones(piece.num_rows, bool)
+        out[held.value.matches(*plain(piece.column("text")))[0]] = False
+        return out
+
+    return rows_where(docs, decide)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", (F.size("items") > 0).alias("contaminated"), F.size("items").cast("long").alias("n_items"), F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"), "first_letter")
