@@ -18,13 +18,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import documents_only, table, text_slices
+from pagewright.llm.base import documents_only, rows_where, table, text_slices
 
 #: Longest reach of a triple, the weight of each letter skipped, and the machine's size.
 REACH, DECAY, LANDMARKS = 6, 0.6, 128
 #: Labelled rows of either class that training reads at most, and words of a class.
 ROWS, WORDS = 1000, 6000
 CUT = 0.7
+#: Words whose triples are held at a time.
+AT_ONCE = 20_000
 START, END, AXES = 27, 28, 32**3
 SCHEMA = "doc_id long, score double, worst array<string>"
 _PAIRS = [(a, b) for b in range(2, REACH) for a in range(1, b)]
@@ -74,18 +76,26 @@ def triples(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
 
 def against(words: list[str], weights: np.ndarray) -> np.ndarray:
     """Each word's product with columns of axis weights, over the word's own length in triples."""
+    wide = weights.reshape(AXES, -1)
+    out = np.zeros((len(words), wide.shape[1]))
+    for first in range(0, len(words), AT_ONCE):
+        some = words[first : first + AT_ONCE]
+        code, word = _placed(some)
+        mass = np.zeros(len(some))
+        for at, axis, weight in triples(code):
+            where = word[at]
+            mass += np.bincount(where, minlength=len(some)) * weight**2
+            for j in range(wide.shape[1]):
+                out[first : first + len(some), j] += np.bincount(where, wide[axis, j], len(some)) * weight
+        out[first : first + len(some)] /= np.sqrt(np.maximum(mass, 1e-9))[:, None]
+    return out
+
+
+def _placed(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     code, starts = coded(words)
     word = np.zeros(len(code), np.int64)
     word[starts[1:]] = 1
-    word = np.cumsum(word)
-    wide = weights.reshape(AXES, -1)
-    out, mass = np.zeros((len(words), wide.shape[1])), np.zeros(len(words))
-    for at, axis, weight in triples(code):
-        where = word[at]
-        mass += np.bincount(where, minlength=len(words)) * weight**2
-        for j in range(wide.shape[1]):
-            out[:, j] += np.bincount(where, wide[axis, j], len(words)) * weight
-    return out / np.sqrt(np.maximum(mass, 1e-9))[:, None]
+    return code, np.cumsum(word)
 
 
 def explicit(words: list[str]) -> np.ndarray:
@@ -146,14 +156,15 @@ def _odds(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, clean: int
 
 def _axis_value(names: list[str], inside: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """Each word's most telling triple: one that many toxic documents have, and few clean ones."""
-    code, starts = coded(names)
-    word = np.zeros(len(code), np.int64)
-    word[starts[1:]] = 1
-    word = np.cumsum(word)
-    found = [(word[at], axis) for at, axis, _ in triples(code)]
-    pairs = np.sort(np.concatenate([w * AXES + a for w, a in found]))
-    word, axis = pairs // AXES, pairs % AXES
-    first = np.searchsorted(word, np.arange(len(names) + 1))
+    parts, sizes = [], []
+    for at in range(0, len(names), AT_ONCE):
+        some = names[at : at + AT_ONCE]
+        code, word = _placed(some)
+        pairs = np.sort(np.concatenate([word[at] * AXES + axis for at, axis, _ in triples(code)]))
+        parts.append((pairs % AXES).astype(np.uint16))
+        sizes.append(np.bincount(pairs // AXES, minlength=len(some)))
+    axis, size = np.concatenate(parts), np.concatenate(sizes)
+    first = np.concatenate([[0], np.cumsum(size)])
     counts, has = np.zeros((2, AXES)), np.zeros(AXES, bool)
     for x, t in zip(inside, toxic, strict=True):
         sizes = first[x + 1] - first[x]
@@ -163,7 +174,9 @@ def _axis_value(names: list[str], inside: list[np.ndarray], toxic: np.ndarray) -
         has[own] = False
     value = np.maximum(_odds(counts[1], counts[0], int((toxic == 1).sum()), int((toxic == 0).sum())), 0) * np.log1p(counts[1])
     out = np.zeros(len(names))
-    np.maximum.at(out, word, value[axis])
+    for at in range(0, len(names), AT_ONCE):
+        stop = min(at + AT_ONCE, len(names))
+        np.maximum.at(out, np.repeat(np.arange(at, stop), size[at:stop]), value[axis[first[at] : first[stop]]])
     return out
 
 
@@ -287,10 +300,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model | None:
     own = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     got = own.mapInArrow(_words, "doc_id long, toxic int, words array<string>").collect()
     got.sort(key=lambda r: r["doc_id"])
+    one: dict[str, str] = {}  # of each word, one string for all documents
+    words = [[one.setdefault(w, w) for w in r["words"]] for r in got]
     toxic = np.array([r["toxic"] for r in got], np.int64)
     total = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     weight = np.array([max(1.0, total[t] / max(1, int((toxic == t).sum()))) for t in toxic.tolist()])
-    return fit([list(r["words"]) for r in got], toxic, weight)
+    return fit(words, toxic, weight)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -323,6 +338,19 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     return documents_only(docs).mapInArrow(run, SCHEMA)
 
 
+def not_toxic(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFrame:
+    """The rows, with all their columns, that score under the cut; all of them without a model."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def decide(piece: pa.RecordBatch) -> np.ndarray:
+        if held.value is None:
+            return np.ones(piece.num_rows, bool)
+        names, doc, code = tokens(piece.column("text"))
+        return held.value.score(summary(held.value.words(names)[code], doc, code, piece.num_rows)) < cut
+
+    return rows_where(docs, decide)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
