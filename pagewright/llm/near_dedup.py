@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import Kept, ascii_words, table, text_slices
+from pagewright.llm.base import Kept, ascii_words, batches_of, table, text_slices
 from pagewright.llm.links import resolve
 
 WORDS, NEAR = 5, (75, 100)
@@ -28,7 +29,14 @@ PLACES = BANDS * ROWS
 HELD, SLICE = 20_000, 2 << 20
 _M1, _M2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 _R, _LOW = np.uint64(33), np.uint64(0xFFFFFFFF)
-SKETCH = "row long, doc_id long, text_key string, n_shingles long, set_key string, bands array<long>"
+#: So many classes are sent to every task; more are joined where they lie.
+FEW = 1000
+#: Texts, or pairs of sets, that a task passes on at once.
+ROWS_AT_ONCE = 500
+#: Places of two sketches that agree, at least, for sets of similarity 0.75: 3.6 standard deviations under 234, or
+#: more, as ranks of one element rule each other out. A sketch has 2 bits of each place, 32 places in a number.
+AGREE, PACKED = 210, 32
+SKETCH = "row long, doc_id long, text_key string, n_shingles long, set_key string, bands array<long>, sketch array<long>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -148,15 +156,32 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """The lowest two bits of all places."""
+    low = (signature & np.uint64(3)).reshape(len(signature), -1, PACKED)
+    return (low << (np.arange(PACKED, dtype=np.uint64) * np.uint64(2))).sum(2, dtype=np.uint64).view(np.int64)
+
+
+def agreeing(x: Column, y: Column) -> Column:
+    """In how many places two sketches agree."""
+    out = F.lit(PLACES)
+    for i in range(PLACES // PACKED):
+        d = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
+        out = out - F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return out
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in text_slices(batch, limit=SLICE):
             hashes, ends = shingles(piece.column("text"))
             sizes = np.diff(ends)
             keys = [xxhash.xxh3_128_hexdigest(hashes[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            made = bands(signatures(hashes, ends))[sizes > 0]
+            signature = signatures(hashes, ends)[sizes > 0]
+            made, short = bands(signature), sketches(signature)
+            shorts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, short.shape[1], 0))]), pa.int32()), pa.array(short.reshape(-1)))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]), pa.int32()), pa.array(made.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([piece.column("row"), piece.column("doc_id"), piece.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys), lists], names=["row", "doc_id", "text_key", "n_shingles", "set_key", "bands"])
+            yield pa.RecordBatch.from_arrays([piece.column("row"), piece.column("doc_id"), piece.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys), lists, shorts], names=["row", "doc_id", "text_key", "n_shingles", "set_key", "bands", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,6 +192,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([piece.column("node"), data], names=["node", "shingles"])
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("shingles")).to_numpy(zero_copy_only=False) // 8
+        data = b"".join(x.as_buffer().to_pybytes() for x in batch.column("shingles"))
+        nodes = batch.column("node").to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, sizes)), pa.array(np.repeat(sizes, sizes).astype(np.int64)), pa.array(np.frombuffer(data, np.int64))], names=["node", "n", "shingle"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keeps the pairs whose full sets are near."""
     low, high = NEAR
@@ -200,24 +233,29 @@ def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["a", "b"])
 
 
-def _text_key():
-    """The text and its id; so that copies of one text don't meet under one key."""
+def _text_key(row: str | None):
+    """The row's number if it has one that stays; else the text and its id, so that copies of one text don't meet."""
+    if row:
+        return F.col("row").cast("string")
     return F.concat_ws(":", F.md5(F.coalesce("text", F.lit("")).cast("binary")), F.col("doc_id").cast("string"))
 
 
-def group(docs: DataFrame) -> DataFrame:
+def group(docs: DataFrame, row: str | None = None) -> DataFrame:
     """Every document's set size and group: row, doc_id, n_shingles, component_id, kept, stays.
 
     component_id is the smallest doc_id of the group, kept says whether it is the document's own, and ``stays`` is
     true for exactly one row of each group. Words are runs between the six ASCII white spaces, A-Z lower-cased. A
     null, empty or blank text has no shingles and stays alone. Repeated rows are one group; a null doc_id counts as
     larger than any other, and a group of null ids has a null component_id. An empty table gives no rows. Only
-    doc_id and text are read.
+    doc_id and text are read, and ``row``, if a column numbers the rows and is written along with them.
     """
-    kept = Kept(docs.sparkSession)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = own.select(F.monotonically_increasing_id().alias("row"), "doc_id", _text_key().alias("text_key"), "text")
-    sketched = kept.write(rows.mapInArrow(_sketch, SKETCH))
+    spark = docs.sparkSession
+    kept = Kept(spark)
+    number = F.col(row).cast("long") if row else F.monotonically_increasing_id()
+    own = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = own.select("row", "doc_id", _text_key(row).alias("text_key"), "text")
+    with batches_of(spark, ROWS_AT_ONCE):
+        sketched = kept.write(rows.mapInArrow(_sketch, SKETCH))
     full = sketched.filter("n_shingles > 0")
     classes = kept.write(full.groupBy("set_key").agg(F.min("row").alias("class"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("first")))
 
@@ -225,19 +263,33 @@ def group(docs: DataFrame) -> DataFrame:
     keyed = heads.select(F.explode("bands").alias("key"), F.col("row").alias("node"), F.col("n_shingles").alias("trait"))
     low, high = NEAR
 
-    def prepare(nodes: DataFrame):
-        texts = own.select(_text_key().alias("text_key"), "text").filter("text IS NOT NULL")
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        texts = own.select(_text_key(row).alias("text_key"), "text").filter("text IS NOT NULL")
         wanted = full.select(F.col("row").alias("node"), "text_key").join(nodes, "node", "left_semi")
-        one = texts.join(wanted.hint("shuffle_hash"), "text_key").dropDuplicates(["node"]).select("node", "text")
-        sets = kept.write(one.mapInArrow(_sets, "node long, shingles binary"))
-
-        def links(pairs: DataFrame) -> DataFrame:
-            two = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-            return two.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").mapInArrow(_union, "a long, b long")
-
-        return links
-
-    final = kept.write(resolve(kept, keyed, lambda n, m: high * F.least(n, m) >= low * F.greatest(n, m), prepare))
+        wanted = F.broadcast(wanted) if nodes.limit(FEW + 1).count() <= FEW else wanted.hint("shuffle_hash")
+        with batches_of(spark, ROWS_AT_ONCE):
+            sets = kept.write(texts.join(wanted, "text_key").select("node", "text").mapInArrow(_sets, "node long, shingles binary"))
+        if sets.count() > nodes.count():  # rows that repeat give a set more than once
+            sets = kept.write(sets.dropDuplicates(["node"]))
+        return sets
+
+    def finer(nodes: DataFrame) -> DataFrame:
+        """Each set's rarest shingles, as many as it can't lack: two near sets share one of them."""
+        each = kept.write(sets_of(nodes).mapInArrow(_each, "node long, n long, shingle long"))
+        common = each.groupBy("shingle").agg(F.count("*").alias("n_sets"))
+        rarest = Window.partitionBy("node").orderBy("n_sets", "shingle")
+        placed = each.join(common, "shingle").withColumn("place", F.row_number().over(rarest))
+        lacks = F.col("n") - F.ceil(F.col("n") * NEAR[0] / NEAR[1])
+        return placed.filter((F.col("place") <= lacks + 1) & (F.col("n_sets") > 1)).select(F.col("shingle").alias("key"), "node").join(full.select(F.col("row").alias("node"), "sketch"), "node")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(kept.write(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()))
+        two = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+        with batches_of(spark, ROWS_AT_ONCE):
+            near = kept.write(two.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"))
+        return near.mapInArrow(_union, "a long, b long")
+
+    final = kept.write(resolve(kept, keyed, lambda n, m: high * F.least(n, m) >= low * F.greatest(n, m), links, finer, lambda x, y: agreeing(x, y) >= AGREE))
     placed = classes.join(final.select(F.col("node").alias("class"), "root"), "class", "left").select("set_key", "first", F.coalesce("root", "class").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("first").alias("lowest"))
     by_set = kept.write(placed.join(lowest, "root").select("set_key", F.col("lowest.doc_id").alias("component_id"), F.col("lowest.row").alias("stay")))
