@@ -1,8 +1,10 @@
 """Fuzzy line dedup: SimHash of normalised lines, a join on pigeonhole blocks, edit similarity, connected groups.
 
-Everything is DataFrame expressions. A line's SimHash comes from sums over its words' hashes: every third of the
-hash's bits is summed in one long, 21 bits apart. Two hashes that differ in at most two bits agree on at least two
-of four blocks, so that lines meet under one of six pairs of blocks, each of about 32 bits.
+Everything is DataFrame expressions. A line's SimHash comes from sums over its distinct words' hashes, so that the
+words that every line has don't outweigh its own. Of up to 127 words, every eighth bit is counted in one long, a
+byte for each, so that eight sums hold all counts. Two hashes that differ
+in at most two bits agree on at least two of four blocks, so that lines meet under one of six pairs of blocks, each
+of about 32 bits.
 """
 
 from __future__ import annotations
@@ -15,36 +17,70 @@ from pyspark.sql import functions as F
 from pagewright.llm.base import Kept, table
 from pagewright.llm.links import resolve
 
-#: Lines with fewer words are left alone: in any language they repeat by nature.
+#: Lines with fewer distinct words are left alone: in any language they repeat by nature.
 LEAST_WORDS = 5
 #: Bits that may differ, and the share of characters that may be edited.
 FAR, EDITS = 2, 0.1
+#: So many lines are sent to every task; more are joined where they lie.
+FEW = 1000
 #: Blocks of the hash: first bit, bits.
 BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 15))
-_FIELDS = 1 | 1 << 21 | 1 << 42
+BITS, PART = 63, 127
+_BYTES = 0x0101010101010101
+#: White space that isn't a single blank; only lines that hold some need a regular expression.
+_ODD = ("  ", "\t", "\r", "\x0b", "\f")
+
+
+def normalized(line: Column) -> Column:
+    """In lower case, with single blanks between words."""
+    odd = F.contains(line, F.lit(_ODD[0]))
+    for blank in _ODD[1:]:
+        odd = odd | F.contains(line, F.lit(blank))
+    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, norm, line: each line with enough words. norm: letters and digits of any script,
-    lower-cased, everything else a blank."""
+    """doc_id, text_hash, line_no, norm: each line."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     split = own.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    norm = F.trim(F.regexp_replace(F.lower("line"), r"[^\p{L}\p{N}]+", " "))
-    return split.select("doc_id", "text_hash", "line_no", norm.alias("norm")).filter(F.length("norm") >= 2 * LEAST_WORDS - 1)
-
-
-def simhashes(lines: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, line_hash, simhash of lines with enough words."""
-    words = lines.select("doc_id", "text_hash", "line_no", F.xxhash64("norm").alias("line_hash"), F.split("norm", " ").alias("words")).filter(F.size("words") >= LEAST_WORDS)
-    each = words.select("doc_id", "text_hash", "line_no", "line_hash", F.explode("words").alias("word")).withColumn("h", F.xxhash64("word")).drop("word")
-    sums = each.groupBy("doc_id", "text_hash", "line_no", "line_hash").agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(_FIELDS))).alias(f"s{j}") for j in range(21)])
+    return split.select("doc_id", "text_hash", "line_no", normalized(F.col("line")).alias("norm"))
+
+
+def simhashes(kept: Kept, lines: DataFrame) -> DataFrame:
+    """doc_id, text_hash, line_no, line_hash, simhash of lines with enough distinct words."""
+    place = ["doc_id", "text_hash", "line_no", "line_hash"]
+    words = lines.select("doc_id", "text_hash", "line_no", F.xxhash64("norm").alias("line_hash"), F.array_distinct(F.split("norm", " ")).alias("words"))
+    size = F.size("words")
+    some = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / PART).cast("int")), lambda i: F.slice("words", i * PART + 1, F.lit(PART)))
+    parts = F.when(size < LEAST_WORDS, F.array().cast("array<array<string>>")).when(size <= PART, F.array("words")).otherwise(some)
+    each = words.select(*place, F.posexplode(parts).alias("part", "own")).select(*place, "part", F.explode("own").alias("word")).select(*place, "part", F.xxhash64("word").alias("h"))
+    sums = each.groupBy(*place, "part").agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(_BYTES))).alias(f"s{j}") for j in range(8)])
+    sums = kept.write(sums)
+    count = [F.shiftright(f"s{b % 8}", 8 * (b // 8)).bitwiseAND(F.lit(255)) for b in range(BITS)]
+    whole = sums.filter(f"part = 0 AND n < {PART}").select(*place, _packed_signs(F.col("n")).alias("simhash"))
+    full = sums.filter(f"part > 0 OR n = {PART}").groupBy(*place).agg(F.sum("n").alias("n"), *[F.sum(c).alias(f"c{b}") for b, c in enumerate(count)])
+    return whole.unionByName(full.select(*place, _signs([F.col(f"c{b}") for b in range(BITS)], F.col("n")).alias("simhash")))
+
+
+def _packed_signs(n: Column) -> Column:
+    """All bits at once: a byte reaches its highest bit if its count, with 128 less half of n added, is over half."""
+    add = F.lit(127).cast("long") - F.floor(n / 2)
+    low = F.lit(_BYTES & ((1 << 56) - 1))
+    out = None
+    for j in range(8):
+        seven = F.shiftrightunsigned(F.col(f"s{j}").bitwiseAND(F.lit((1 << 56) - 1)) + add * low, 7).bitwiseAND(low)
+        last = F.shiftleft(F.shiftright(F.shiftrightunsigned(f"s{j}", 56) + add, 7), 56)
+        bits = F.shiftleft(seven.bitwiseOR(last), j)
+        out = bits if out is None else out.bitwiseOR(bits)
+    return out.bitwiseAND(F.lit((1 << BITS) - 1))
+
+
+def _signs(counts: list[Column], n: Column) -> Column:
     bits = None
-    for j in range(21):
-        for f in range(3):
-            count = F.shiftright(f"s{j}", 21 * f).bitwiseAND(F.lit((1 << 21) - 1))
-            bit = F.when(2 * count > F.col("n"), F.lit(1 << (j + 21 * f))).otherwise(F.lit(0).cast("long"))
-            bits = bit if bits is None else bits.bitwiseOR(bit)
-    return sums.select("doc_id", "text_hash", "line_no", "line_hash", bits.alias("simhash"))
+    for b, count in enumerate(counts):
+        bit = F.when(2 * count > n, F.lit(1 << b)).otherwise(F.lit(0).cast("long"))
+        bits = bit if bits is None else bits.bitwiseOR(bit)
+    return bits
 
 
 def _keys(simhash: Column) -> Column:
@@ -60,30 +96,29 @@ def decide(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, dropped (line numbers from 0, ascending): documents that lose lines."""
     kept = Kept(docs.sparkSession)
     lines = lines_of(docs)
-    found = kept.write(simhashes(lines))
+    found = kept.write(simhashes(kept, lines))
     place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "line_no")
     classes = kept.write(found.groupBy("line_hash").agg(F.min("simhash").alias("simhash"), F.min(place).alias("first"), F.max(place).alias("last")))
     keyed = classes.select(F.explode(_keys(F.col("simhash"))).alias("key"), F.col("line_hash").alias("node"), F.col("simhash").alias("trait"))
 
-    def prepare(nodes: DataFrame):
-        at = classes.join(nodes.withColumnRenamed("node", "line_hash"), "line_hash", "left_semi").select("first.doc_id", "first.text_hash", "first.line_no", F.col("line_hash").alias("node"))
+    def links(pairs: DataFrame) -> DataFrame:
+        nodes = kept.write(pairs.select(F.col("a").alias("line_hash")).unionByName(pairs.select(F.col("b").alias("line_hash"))).distinct())
+        at = classes.join(nodes, "line_hash", "left_semi").select("first.doc_id", "first.text_hash", "first.line_no", F.col("line_hash").alias("node"))
         # a text goes once to the place of its lines, though many may be wanted
         by_text = at.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "node")).alias("wanted"))
+        by_text = F.broadcast(by_text) if nodes.limit(FEW + 1).count() <= FEW else by_text.hint("shuffle_hash")
         own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-        same = own.alias("o").join(by_text.hint("shuffle_hash").alias("w"), F.col("o.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("o.text_hash") == F.col("w.text_hash")))
-        picked = same.select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("at")).select(F.col("at.node").alias("node"), F.get("lines", F.col("at.line_no")).alias("line"))
-        norm = F.trim(F.regexp_replace(F.lower("line"), r"[^\p{L}\p{N}]+", " "))
-        texts = kept.write(picked.select("node", norm.alias("norm")).dropDuplicates(["node"]))
-
-        def links(pairs: DataFrame) -> DataFrame:
-            two = pairs.join(texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("norm").alias("y")), "b")
-            most = F.floor(F.greatest(F.length("x"), F.length("y")) * EDITS).cast("int")
-            near = two.withColumn("most", most).filter("abs(length(x) - length(y)) <= most").filter("levenshtein(x, y, most) >= 0")
-            return near.select("a", "b")
-
-        return links
-
-    roots = resolve(kept, keyed, lambda s, t: F.bit_count(s.bitwiseXOR(t)) <= FAR, prepare)
+        same = own.alias("o").join(by_text.alias("w"), F.col("o.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("o.text_hash") == F.col("w.text_hash")))
+        picked = same.select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("at")).select(F.col("at.node").alias("node"), normalized(F.get("lines", F.col("at.line_no"))).alias("norm"))
+        texts = kept.write(picked)
+        if texts.count() > nodes.count():  # rows that repeat give a line more than once
+            texts = kept.write(texts.dropDuplicates(["node"]))
+        two = pairs.join(texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("norm").alias("y")), "b")
+        most = F.floor(F.greatest(F.length("x"), F.length("y")) * EDITS).cast("int")
+        near = two.withColumn("most", most).filter("abs(length(x) - length(y)) <= most").filter("levenshtein(x, y, most) >= 0")
+        return near.select("a", "b")
+
+    roots = resolve(kept, keyed, lambda s, t: F.bit_count(s.bitwiseXOR(t)) <= FAR, links)
     rooted = classes.join(roots.withColumnRenamed("node", "line_hash"), "line_hash", "left").select("line_hash", "first", "last", F.coalesce("root", "line_hash").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), F.max("last").alias("last")).filter("stay <> last")
     many = rooted.select("line_hash", "root").join(stays, "root").select("line_hash", "stay")
@@ -95,7 +130,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     """All columns of ``docs``, the text without the lines that are dropped, and ``dropped``, their numbers from 0.
 
     Of each connected group of alike lines the one stays that comes first by doc_id (null last), then text hash and
-    line number; lines of fewer than ``LEAST_WORDS`` words all stay. A null or empty text stays as it is. Rows that
+    line number; lines of fewer than ``LEAST_WORDS`` distinct words all stay. A null or empty text stays as it is. Rows that
     repeat both doc_id and text are one document, and each of them keeps what it keeps. An empty table gives no rows.
     """
     return _with_dropped(docs, decide(docs)).withColumn("text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped"), i)), "\n")))

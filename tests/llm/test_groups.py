@@ -136,12 +136,12 @@ def distance(a, b):
 
 def lines_left(spark, texts):
     """By brute force: SimHashes from Spark's own word hashes, all pairs of lines, edit distances by the recurrence."""
-    places = [(d, n, norm(line)) for d, t in texts.items() for n, line in enumerate((t or "").split("\n")) if len(norm(line).split()) >= line_dedup.LEAST_WORDS]
+    places = [(d, n, norm(line)) for d, t in texts.items() for n, line in enumerate((t or "").split("\n")) if len(set(norm(line).split())) >= line_dedup.LEAST_WORDS]
     words = sorted({w for _, _, x in places for w in x.split()})
     hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
     simhash = {}
     for x in {x for _, _, x in places}:
-        own = [hashes[w] for w in x.split()]
+        own = [hashes[w] for w in set(x.split())]
         simhash[x] = sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in own) > len(own))
     kinds = sorted(simhash)
     linked = [(a, b) for a in kinds for b in kinds if a < b and (simhash[a] ^ simhash[b]).bit_count() <= line_dedup.FAR and abs(len(a) - len(b)) <= max(len(a), len(b)) // 10 and distance(a, b) <= max(len(a), len(b)) // 10]
