@@ -88,7 +88,7 @@ def find(docs: DataFrame, owner: Column | None = None, repository: Column | None
     found = scanned.filter(F.size("found") > 0).select("row", "owner", "repository", F.explode("found").alias("c")).select("row", "owner", "repository", "c.*")
     verdict = kept.write(ownership(found))
     dealt = verdict.select("hash", (F.col("owners") >= EXAMPLE_OWNERS).alias("example"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    judged = found.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(dealt, ["hash", "salt"])
+    judged = found.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int")).join(dealt.hint("merge"), ["hash", "salt"])
     order = F.when(F.col("kind") == "assign", 0).when(F.col("kind") == "access", 1).when(F.col("kind") == "hex", 2).otherwise(3)
     live = ~F.col("example") & (F.col("bits") >= RANDOM_BITS)
     by_row = judged.filter("base OR (NOT example AND bits >= {bits})".format(bits=RANDOM_BITS)).withColumn("live", live).groupBy("row").agg(
