@@ -21,8 +21,8 @@ from pagewright.llm.links import resolve
 LEAST_WORDS = 5
 #: Bits that may differ, and the share of characters that may be edited.
 FAR, EDITS = 2, 0.1
-#: So many lines are sent to every task; more are joined where they lie.
-FEW = 1000
+#: Up to so many lines, some 60 bytes each, are sent to every task; more are joined where they lie.
+FEW = 50_000
 #: Blocks of the hash: first bit, bits.
 BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 15))
 BITS, PART = 63, 127

@@ -29,8 +29,8 @@ PLACES = BANDS * ROWS
 HELD, SLICE = 20_000, 2 << 20
 _M1, _M2, _GOLD = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 _R, _LOW = np.uint64(33), np.uint64(0xFFFFFFFF)
-#: So many classes are sent to every task; more are joined where they lie.
-FEW = 1000
+#: Up to so many classes, some 80 bytes each, are sent to every task; more are joined where they lie.
+FEW = 50_000
 #: Texts, or pairs of sets, that a task passes on at once.
 ROWS_AT_ONCE = 500
 #: Places of two sketches that agree, at least, for sets of similarity 0.75: 3.6 standard deviations under 234, or
