@@ -1,10 +1,15 @@
-"""Fuzzy line dedup: SimHash of normalised lines, a join on pigeonhole blocks, edit similarity, connected groups.
+"""Fuzzy line dedup: keys from the least hashes of a line's features, edit similarity, connected groups.
 
-Everything is DataFrame expressions. A line's SimHash comes from sums over its distinct words' hashes, so that the
-words that every line has don't outweigh its own. Of up to 127 words, every eighth bit is counted in one long, a
-byte for each, so that eight sums hold all counts. Two hashes that differ
-in at most two bits agree on at least two of four blocks, so that lines meet under one of six pairs of blocks, each
-of about 32 bits.
+Everything is DataFrame expressions, and a line's keys come from the line alone, so that no word is shuffled. Lines
+are alike if at most a tenth of the longer one's characters are edited. Candidates are lines that share a key:
+
+* up to ``SHORT`` characters: if k edits are allowed, one of k + 1 segments of the shorter line stands in the longer
+  one, at most k places off; all such places are keys, so that no pair is missed;
+* up to ``MID`` characters, and above that with hardly any blanks: each two of the 7 least hashes of 5 characters in a row;
+* longer: each two of the 5 least hashes of two words in a row, without punctuation.
+
+The last two miss a pair with a chance that grows with the share of features that are edited. Bounds of the lengths overlap by
+more than a tenth, so that lines that may be alike have keys of one kind.
 """
 
 from __future__ import annotations
@@ -17,16 +22,15 @@ from pyspark.sql import functions as F
 from pagewright.llm.base import Kept, table
 from pagewright.llm.links import resolve
 
-#: Lines with fewer distinct words are left alone: in any language they repeat by nature.
+#: Lines with fewer distinct words are left alone.
 LEAST_WORDS = 5
-#: Bits that may differ, and the share of characters that may be edited.
-FAR, EDITS = 2, 0.1
+#: Bits of a SimHash that may differ: all, as links depend on edits alone. The share of characters that may be edited.
+FAR, EDITS = 63, 0.1
+#: Characters up to which lines have segments, and characters, as keys; the least hashes taken of characters and of words.
+SHORT, MID = 33, 89
+GRAM, GRAMS, PAIRS = 5, 7, 5
 #: Up to so many lines, some 60 bytes each, are sent to every task; more are joined where they lie.
 FEW = 50_000
-#: Blocks of the hash: first bit, bits.
-BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 15))
-BITS, PART = 63, 127
-_BYTES = 0x0101010101010101
 #: White space that isn't a single blank; only lines that hold some need a regular expression.
 _ODD = ("  ", "\t", "\r", "\x0b", "\f")
 
@@ -46,60 +50,57 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return split.select("doc_id", "text_hash", "line_no", normalized(F.col("line")).alias("norm"))
 
 
-def simhashes(kept: Kept, lines: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, line_hash, simhash of lines with enough distinct words."""
-    place = ["doc_id", "text_hash", "line_no", "line_hash"]
-    words = lines.select("doc_id", "text_hash", "line_no", F.xxhash64("norm").alias("line_hash"), F.array_distinct(F.split("norm", " ")).alias("words"))
-    size = F.size("words")
-    some = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / PART).cast("int")), lambda i: F.slice("words", i * PART + 1, F.lit(PART)))
-    parts = F.when(size < LEAST_WORDS, F.array().cast("array<array<string>>")).when(size <= PART, F.array("words")).otherwise(some)
-    each = words.select(*place, F.posexplode(parts).alias("part", "own")).select(*place, "part", F.explode("own").alias("word")).select(*place, "part", F.xxhash64("word").alias("h"))
-    sums = each.groupBy(*place, "part").agg(F.count("*").alias("n"), *[F.sum(F.shiftrightunsigned("h", j).bitwiseAND(F.lit(_BYTES))).alias(f"s{j}") for j in range(8)])
-    sums = kept.write(sums)
-    count = [F.shiftright(f"s{b % 8}", 8 * (b // 8)).bitwiseAND(F.lit(255)) for b in range(BITS)]
-    whole = sums.filter(f"part = 0 AND n < {PART}").select(*place, _packed_signs(F.col("n")).alias("simhash"))
-    full = sums.filter(f"part > 0 OR n = {PART}").groupBy(*place).agg(F.sum("n").alias("n"), *[F.sum(c).alias(f"c{b}") for b, c in enumerate(count)])
-    return whole.unionByName(full.select(*place, _signs([F.col(f"c{b}") for b in range(BITS)], F.col("n")).alias("simhash")))
-
-
-def _packed_signs(n: Column) -> Column:
-    """All bits at once: a byte reaches its highest bit if its count, with 128 less half of n added, is over half."""
-    add = F.lit(127).cast("long") - F.floor(n / 2)
-    low = F.lit(_BYTES & ((1 << 56) - 1))
-    out = None
-    for j in range(8):
-        seven = F.shiftrightunsigned(F.col(f"s{j}").bitwiseAND(F.lit((1 << 56) - 1)) + add * low, 7).bitwiseAND(low)
-        last = F.shiftleft(F.shiftright(F.shiftrightunsigned(f"s{j}", 56) + add, 7), 56)
-        bits = F.shiftleft(seven.bitwiseOR(last), j)
-        out = bits if out is None else out.bitwiseOR(bits)
-    return out.bitwiseAND(F.lit((1 << BITS) - 1))
-
-
-def _signs(counts: list[Column], n: Column) -> Column:
-    bits = None
-    for b, count in enumerate(counts):
-        bit = F.when(2 * count > n, F.lit(1 << b)).otherwise(F.lit(0).cast("long"))
-        bits = bit if bits is None else bits.bitwiseOR(bit)
-    return bits
-
-
-def _keys(simhash: Column) -> Column:
-    """A key for each two blocks: their bits, and which blocks they are."""
-    keys = []
-    for i, (one, two) in enumerate(combinations(BLOCKS, 2)):
-        parts = [F.shiftright(simhash, first).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) for first, bits in (one, two)]
-        keys.append(F.shiftleft(parts[0], two[1]).bitwiseOR(parts[1]).bitwiseOR(F.lit(i << 40).cast("long")))
-    return F.array(*keys)
+def sketches(lines: DataFrame) -> DataFrame:
+    """doc_id, text_hash, line_no, line_hash, size, pairs, grams, segments of lines with enough distinct words."""
+    norm = F.col("norm")
+    own = lines.filter(F.size(F.array_distinct(F.split("norm", " "))) >= LEAST_WORDS) if LEAST_WORDS > 1 else lines.filter("norm <> ''")
+    own = own.withColumn("size", F.length("norm")).withColumn("words", F.when(F.col("size") > MID * 8 // 9, F.filter(F.split("norm", r"[^\p{L}\p{M}\p{N}]+"), lambda x: x != "")).otherwise(F.array().cast("array<string>")))
+    n, size = F.size("words"), F.col("size")
+    wordy = (size > MID * 8 // 9) & (n * 20 >= size)
+    fine = (size > SHORT - 4) & ((size <= MID) | (n * 16 < size))
+    pairs = F.when(wordy, _least(F.transform(F.slice("words", 1, n - 1), lambda w, i: F.xxhash64(w, F.get("words", i + 1))), PAIRS))
+    own = own.withColumn("chars", F.when(fine, F.split(norm, "")))
+    grams = F.when(fine, _least(F.transform(F.slice("chars", 1, size - GRAM + 1), lambda c, i: F.xxhash64(c, *[F.get("chars", i + j) for j in range(1, GRAM)])), GRAMS))
+    return own.select("doc_id", "text_hash", "line_no", F.xxhash64("norm").alias("line_hash"), "size", pairs.alias("pairs"), grams.alias("grams"), _segments(norm, size).alias("segments"))
+
+
+def _least(hashes: Column, n: int) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, n)
+
+
+def _twos(sketch: str, n: int, salt: int) -> Column:
+    """A key for each two of the hashes; for each one too where there are hardly any."""
+    twos = [F.when(F.size(sketch) > j, F.xxhash64(F.lit(salt), F.get(sketch, F.lit(i)), F.get(sketch, F.lit(j)))) for i, j in combinations(range(n), 2)]
+    ones = [F.when((F.size(sketch) > i) & (F.size(sketch) < 4), F.xxhash64(F.lit(salt + 1), F.get(sketch, F.lit(i)))) for i in range(3)]
+    return F.when(F.col(sketch).isNull(), F.array().cast("array<long>")).otherwise(F.array_compact(F.array(*twos, *ones)))
+
+
+def _segments(norm: Column, size: Column) -> Column:
+    """Keys of a short line: its own segments for lines that are as long or longer, and all places of segments of lines as long or shorter."""
+    own, places = [], []
+    for most in range(1, SHORT // 10 + 1):
+        for part in range(most + 1):
+            # ``most`` edits belong to longer lines of 10 * most to 10 * most + 9 characters
+            start, end = F.floor(size * part / (most + 1)).cast("int"), F.floor(size * (part + 1) / (most + 1)).cast("int")
+            own.append(F.when(size.between(9 * most, 10 * most + 9), F.xxhash64(F.lit(most), F.lit(part), size, F.substring(norm, start + 1, end - start))))
+            for less in range(most + 1):
+                other = size - less
+                start, end = F.floor(other * part / (most + 1)).cast("int"), F.floor(other * (part + 1) / (most + 1)).cast("int")
+                for off in range(-most, most + 1):
+                    at = start + off
+                    places.append(F.when((F.floor(size / 10) == most) & (at >= 0) & (at + end - start <= size), F.xxhash64(F.lit(most), F.lit(part), other, F.substring(norm, at + 1, end - start))))
+    return F.when(size.between(9, SHORT), F.array_distinct(F.array_compact(F.array(*own, *places)))).otherwise(F.array().cast("array<long>"))
 
 
 def decide(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, dropped (line numbers from 0, ascending): documents that lose lines."""
     kept = Kept(docs.sparkSession)
     lines = lines_of(docs)
-    found = kept.write(simhashes(kept, lines))
+    found = kept.write(sketches(lines))
     place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "line_no")
-    classes = kept.write(found.groupBy("line_hash").agg(F.min("simhash").alias("simhash"), F.min(place).alias("first"), F.max(place).alias("last")))
-    keyed = classes.select(F.explode(_keys(F.col("simhash"))).alias("key"), F.col("line_hash").alias("node"), F.col("simhash").alias("trait"))
+    classes = kept.write(found.groupBy("line_hash").agg(F.first("size").alias("size"), *[F.first(c).alias(c) for c in ("pairs", "grams", "segments")], F.min(place).alias("first"), F.max(place).alias("last")))
+    keys = F.concat(_twos("pairs", PAIRS, 1000), _twos("grams", GRAMS, 2000), F.col("segments"))
+    keyed = classes.select(F.explode(keys).alias("key"), F.col("line_hash").alias("node"), F.col("size").alias("trait"))
 
     def links(pairs: DataFrame) -> DataFrame:
         nodes = kept.write(pairs.select(F.col("a").alias("line_hash")).unionByName(pairs.select(F.col("b").alias("line_hash"))).distinct())
@@ -118,11 +119,11 @@ def decide(docs: DataFrame) -> DataFrame:
         near = two.withColumn("most", most).filter("abs(length(x) - length(y)) <= most").filter("levenshtein(x, y, most) >= 0")
         return near.select("a", "b")
 
-    roots = resolve(kept, keyed, lambda s, t: F.bit_count(s.bitwiseXOR(t)) <= FAR, links)
+    roots = resolve(kept, keyed, lambda s, t: F.abs(s - t) <= F.floor(F.greatest(s, t) * EDITS), links)
     rooted = classes.join(roots.withColumnRenamed("node", "line_hash"), "line_hash", "left").select("line_hash", "first", "last", F.coalesce("root", "line_hash").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), F.max("last").alias("last")).filter("stay <> last")
     many = rooted.select("line_hash", "root").join(stays, "root").select("line_hash", "stay")
-    lost = found.join(many, "line_hash").filter(place != F.col("stay"))
+    lost = found.select("doc_id", "text_hash", "line_no", "line_hash").join(many, "line_hash").filter(place != F.col("stay"))
     return kept.write(lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
 
 
