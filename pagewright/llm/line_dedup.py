@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pagewright.llm.base import Kept, table
 from pagewright.llm.links import resolve
 
-#: Lines with fewer distinct words are left alone.
-LEAST_WORDS = 5
+#: Lines with fewer distinct words are left alone: blank ones.
+LEAST_WORDS = 1
 #: Bits of a SimHash that may differ: all, as links depend on edits alone. The share of characters that may be edited.
 FAR, EDITS = 63, 0.1
 #: Characters up to which lines have segments, and characters, as keys; the least hashes taken of characters and of words.
@@ -51,9 +51,9 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def sketches(lines: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, line_hash, size, pairs, grams, segments of lines with enough distinct words."""
+    """doc_id, text_hash, line_no, line_hash, size, pairs, grams, segments of lines that aren't blank."""
     norm = F.col("norm")
-    own = lines.filter(F.size(F.array_distinct(F.split("norm", " "))) >= LEAST_WORDS) if LEAST_WORDS > 1 else lines.filter("norm <> ''")
+    own = lines.filter("norm <> ''")
     own = own.withColumn("size", F.length("norm")).withColumn("words", F.when(F.col("size") > MID * 8 // 9, F.filter(F.split("norm", r"[^\p{L}\p{M}\p{N}]+"), lambda x: x != "")).otherwise(F.array().cast("array<string>")))
     n, size = F.size("words"), F.col("size")
     wordy = (size > MID * 8 // 9) & (n * 20 >= size)
@@ -131,7 +131,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     """All columns of ``docs``, the text without the lines that are dropped, and ``dropped``, their numbers from 0.
 
     Of each connected group of alike lines the one stays that comes first by doc_id (null last), then text hash and
-    line number; lines of fewer than ``LEAST_WORDS`` distinct words all stay. A null or empty text stays as it is. Rows that
+    line number; blank lines all stay. A null or empty text stays as it is. Rows that
     repeat both doc_id and text are one document, and each of them keeps what it keeps. An empty table gives no rows.
     """
     return _with_dropped(docs, decide(docs)).withColumn("text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped"), i)), "\n")))

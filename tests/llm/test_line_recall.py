@@ -25,3 +25,9 @@ def test_edited_copies_of_lines_go(spark):
             n += 1
     left = line_dedup.dedup(cases.documents(spark, texts)).filter("text <> ''").count()
     assert left <= len(texts) - n + 1
+
+
+def test_short_lines_go_too(spark):
+    texts = ["page two\none\n\nan own line", "page two\none\n\n", "Page  two\n" + "x" * 500 + "\nreferences.", "x" * 499 + "y\nreferences"]
+    got = [r.text for r in line_dedup.dedup(cases.documents(spark, texts)).orderBy("doc_id").collect()]
+    assert got == ["page two\none\n\nan own line", "\n", "x" * 500 + "\nreferences.", ""]
