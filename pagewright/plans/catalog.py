@@ -261,6 +261,13 @@ def key_value_chunks(spark, d):
     return segment.key_values(own)
 
 
+@query("key_value_chunks_whole", "SELECT conv_id, turn, CASE WHEN kind = 'KEY_VALUE' THEN key||': '||value ELSE value END AS chunk_text FROM (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'KEY_VALUE' WHEN 1 THEN 'LINE' ELSE 'OTHER' END AS kind, trim(regexp_replace(trim(coalesce(role, '')), ':+$', '')) AS key, trim(coalesce(text, '')) AS value FROM conversations) WHERE kind IN ('KEY_VALUE', 'LINE') AND value <> '' AND (kind = 'LINE' OR key <> '')")
+def key_value_chunks_whole(spark, d):
+    """As key_value_chunks, over whole texts."""
+    own = read(spark, d, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 3 == 0, "KEY_VALUE").when(F.col("turn") % 3 == 1, "LINE").otherwise("OTHER").alias("kind"), F.array(F.concat("role", F.lit(":"))).alias("key_words"), F.col("text").alias("value"))
+    return segment.key_values(own)
+
+
 @query("page_metadata", "SELECT m.source_doc_id, h.page_num, count(*) OVER (PARTITION BY doc_id) AS page_count, m.case_ref, m.received_date, m.correspondence_type, pt.page_text FROM hand h JOIN meta m USING (doc_id) JOIN (SELECT doc_id, page_num, string_agg(text, ' ' ORDER BY word_pos) AS page_text FROM w GROUP BY ALL) pt USING (doc_id, page_num)", "hand", "meta", "w")
 def page_metadata(spark, d):
     own = derived.pages(docs(spark, d)).select("doc_id", "page_num", F.array_join(F.transform("words", lambda w: w["text"]), " ").alias("page_text"))
