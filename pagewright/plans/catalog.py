@@ -485,6 +485,13 @@ def dates_for_search(spark, d):
     return own.select("o_orderkey", shown.alias("text")).select("o_orderkey", F.array_join(dates.for_search(F.col("text")), "|").alias("variants"))
 
 
+@query("dates_for_search_all", f"SELECT o_orderkey, array_to_string({_ways('dd||chr(32)||full_name||chr(32)||yy')}, '|') AS variants FROM odv", "odv")
+def dates_for_search_all(spark, d):
+    """As dates_for_search, over every order."""
+    shown = F.concat(F.lit("seen on "), F.date_format("o_orderdate", "d MMMM yyyy"), F.lit(" at noon"))
+    return read(spark, d, "orders").select("o_orderkey", shown.alias("text")).select("o_orderkey", F.array_join(dates.for_search(F.col("text")), "|").alias("variants"))
+
+
 @query("acceptable_terms", "SELECT query_id, array_to_string(list_filter(list_transform(string_split(acceptable_terms, ','), lambda x: lower(trim(x))), lambda x: x <> '' AND x <> lower(trim(search_term))), '|') AS terms FROM st", "st")
 def acceptable_terms(spark, d):
     own = F.filter(F.transform(text.listed(F.col("acceptable_terms")), lambda x: F.lower(x)), lambda x: x != F.lower(F.trim("search_term")))

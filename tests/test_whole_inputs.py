@@ -11,3 +11,7 @@ def test_key_values_keep_whole_texts(spark):
     own = catalog.key_value_chunks_whole(spark, DATA).join(catalog.read(spark, DATA, "conversations").select("conv_id", "turn", "text"), ["conv_id", "turn"])
     assert own.filter("length(trim(text)) > 60").count() > 0
     assert own.filter("NOT endswith(chunk_text, trim(text))").count() == 0
+
+
+def test_every_order_has_its_dates(spark):
+    assert catalog.dates_for_search_all(spark, DATA).filter("variants <> ''").count() == catalog.read(spark, DATA, "orders").count()
