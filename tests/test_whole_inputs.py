@@ -15,3 +15,7 @@ def test_key_values_keep_whole_texts(spark):
 
 def test_every_order_has_its_dates(spark):
     assert catalog.dates_for_search_all(spark, DATA).filter("variants <> ''").count() == catalog.read(spark, DATA, "orders").count()
+
+
+def test_every_vector_is_a_query(spark):
+    assert catalog.knn_topk_all(spark, DATA).select("query_id").distinct().count() == catalog.read(spark, DATA, "embeddings").filter("embedding IS NOT NULL").select("vec_id").distinct().count()
