@@ -568,6 +568,15 @@ def date_clause(spark, d):
     return retrieval.date_clause(body, asked).withColumnRenamed("chunk_id", "doc_id")
 
 
+@query("date_clause_all", f"SELECT DISTINCT a.query_id, b.doc_id FROM (SELECT o_orderkey AS query_id, unnest({_ways('dd||chr(32)||full_name||chr(32)||yy')}) AS way, o_orderkey % 20 AS scope FROM odv) a JOIN (SELECT o_orderkey AS doc_id, o_orderkey % 20 AS scope, ' '||lower('Paid '||dd||' '||short_name||' '||yy||' in full')||' ' AS body FROM odv) b USING (scope) WHERE contains(body, ' '||lower(way)||' ')", "odv")
+def date_clause_all(spark, d):
+    """As date_clause, with every order as a query."""
+    own = read(spark, d, "orders")
+    asked = own.select(F.col("o_orderkey").alias("query_id"), (F.col("o_orderkey") % 20).alias("case_ref"), F.concat(F.lit("seen "), F.date_format("o_orderdate", "d MMMM yyyy")).alias("search_term"))
+    body = own.select(F.col("o_orderkey").alias("chunk_id"), (F.col("o_orderkey") % 20).alias("case_ref"), F.concat(F.lit("Paid "), F.date_format("o_orderdate", "d MMM yyyy"), F.lit(" in full.")).alias("chunk_text"))
+    return retrieval.date_clause(body, asked).withColumnRenamed("chunk_id", "doc_id")
+
+
 @query("hybrid_topk", "SELECT query_id, chunk_id, score, rank FROM hits", "hits")
 def hybrid_topk(spark, d):
     return _hits(spark, d, chunks(spark, d), terms(spark, d))

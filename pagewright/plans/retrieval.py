@@ -53,8 +53,13 @@ def date_clause(chunks: DataFrame, terms: DataFrame) -> DataFrame:
     """query_id, chunk_id of chunks in the query's case that hold any way of writing any of its dates, as a phrase."""
     asked = terms.select("query_id", "case_ref", dates.for_search(F.col("search_term")).alias("ways")).filter(F.size("ways") > 0)
     pad = lambda c: F.concat(F.lit(" "), F.regexp_replace(F.lower(c), r"[\s,;.!?()]+", " "), F.lit(" "))
-    body = chunks.select("chunk_id", "case_ref", pad(F.col("chunk_text")).alias("body"))
-    return asked.join(body, "case_ref").filter(F.exists("ways", lambda w: F.contains(F.col("body"), pad(w)))).select("query_id", "chunk_id")
+    ways = asked.select("query_id", "case_ref", F.explode(F.transform("ways", lambda w: F.trim(pad(w)))).alias("phrase")).distinct()
+    body = chunks.select("chunk_id", "case_ref", F.split(F.trim(pad(F.col("chunk_text"))), " ").alias("ws"))
+    phrases = lambda n: F.transform("ws", lambda w, i: F.when(i + n <= F.size("ws"), F.array_join(F.slice("ws", i + 1, F.lit(n)), " ")))
+    # a way is a phrase of the text: phrases of up to four words, the most that a date has, meet by equality
+    starts = body.select("chunk_id", "case_ref", F.explode(F.flatten(F.array(*[phrases(n) for n in range(1, 5)]))).alias("phrase"))
+    held = starts.filter("phrase RLIKE '[0-9]'").distinct()
+    return ways.join(held, ["case_ref", "phrase"]).select("query_id", "chunk_id").distinct()
 
 
 def hybrid(lexical: DataFrame, vector: DataFrame, dated: DataFrame | None, config: Search = Search(), search_type: str = "hybrid-dates") -> DataFrame:

@@ -19,3 +19,8 @@ def test_every_order_has_its_dates(spark):
 
 def test_every_vector_is_a_query(spark):
     assert catalog.knn_topk_all(spark, DATA).select("query_id").distinct().count() == catalog.read(spark, DATA, "embeddings").filter("embedding IS NOT NULL").select("vec_id").distinct().count()
+
+
+def test_every_order_asks_for_its_date(spark):
+    found = catalog.date_clause_all(spark, DATA)
+    assert found.filter("query_id = doc_id").count() == catalog.read(spark, DATA, "orders").count()
