@@ -201,11 +201,32 @@ def fuzzy(pairs: DataFrame, least: float = FUZZY) -> DataFrame:
 
 
 def any_method(term: Column, body: Column, methods: list[str]) -> Column:
-    """Exact and wildcard as one expression; an unknown method counts as exact, semantic_only matches nothing."""
+    """Exact and wildcard as one expression; an unknown method counts as exact, semantic_only matches nothing.
+
+    Stemmed and fuzzy need rows, not expressions, and are an error here; ``any_rows`` has all methods.
+    """
     out = F.lit(False)
     for method in methods:
+        if method in ("stemmed", "fuzzy"):
+            raise ValueError(f"{method} matching takes rows: use any_rows")
         if method == "wildcard":
             out = out | wildcard(term, body)
         elif method != "semantic_only":
             out = out | exact(term, body)
     return out
+
+
+def any_rows(pairs: DataFrame, methods: list[str]) -> DataFrame:
+    """(query_id, chunk_id), distinct, of pairs (query_id, chunk_id, search_term, chunk_text) that match by any of the methods.
+
+    A query may come with several terms; it matches by any of them.
+    """
+    found = pairs.filter(any_method(F.col("search_term"), F.col("chunk_text"), [m for m in methods if m not in ("stemmed", "fuzzy")])).select("query_id", "chunk_id")
+    if "stemmed" in methods:
+        # a query's own chunks are its case, so that only pairs that are asked for meet
+        asked = pairs.select("query_id", F.col("query_id").alias("case_ref"), "search_term").distinct()
+        held = pairs.select("chunk_id", F.col("query_id").alias("case_ref"), "chunk_text").distinct()
+        found = found.unionByName(stemmed(asked, held))
+    if "fuzzy" in methods:
+        found = found.unionByName(fuzzy(pairs).filter("matched").select("query_id", "chunk_id"))
+    return found.distinct()

@@ -442,6 +442,12 @@ def match_any_method(spark, d):
     return _pairs(spark, d).filter(matching.any_method(F.col("search_term"), F.col("chunk_text"), ["exact", "wildcard", "semantic_only"])).select("query_id", "chunk_id")
 
 
+@query("match_all_methods")
+def match_all_methods(spark, d):
+    """All five methods; the stemmer and the fuzzy ratio have no SQL."""
+    return matching.any_rows(_pairs(spark, d), list(matching.METHODS))
+
+
 @query("match_stemmed")
 def match_stemmed(spark, d):
     return matching.stemmed(terms(spark, d), chunks(spark, d))

@@ -38,9 +38,15 @@ def presence(hits: DataFrame, chunks: DataFrame, terms: DataFrame, methods: list
     own = hits.select("query_id", "chunk_id").join(chunks.select("chunk_id", "chunk_text"), "chunk_id").filter("chunk_text <> ''").join(terms.select("query_id", "search_term", "acceptable_terms"), "query_id")
     term = F.lower(F.trim("search_term"))
     others = F.filter(F.transform(text.listed(F.col("acceptable_terms")), lambda x: F.lower(x)), lambda x: x != term)
-    has = matching.any_method(term, F.col("chunk_text"), methods)
-    other = F.exists(others, lambda x: matching.any_method(x, F.col("chunk_text"), methods))
-    flagged = own.select("query_id", has.alias("has"), other.alias("other"))
+    if {"stemmed", "fuzzy"} & set(methods):
+        has = matching.any_rows(own.select("query_id", "chunk_id", term.alias("search_term"), "chunk_text"), methods).withColumn("has", F.lit(True))
+        other = matching.any_rows(own.select("query_id", "chunk_id", F.explode(others).alias("search_term"), "chunk_text"), methods).withColumn("other", F.lit(True))
+        joined = own.select("query_id", "chunk_id").join(has, ["query_id", "chunk_id"], "left").join(other, ["query_id", "chunk_id"], "left")
+        flagged = joined.select("query_id", F.coalesce("has", F.lit(False)).alias("has"), F.coalesce("other", F.lit(False)).alias("other"))
+    else:
+        has = matching.any_method(term, F.col("chunk_text"), methods)
+        other = F.exists(others, lambda x: matching.any_method(x, F.col("chunk_text"), methods))
+        flagged = own.select("query_id", has.alias("has"), other.alias("other"))
     return flagged.groupBy("query_id").agg(F.count_if("has").alias("chunks_with_search_term"), F.count_if("other").alias("chunks_with_acceptable"), F.count_if(F.col("has") | F.col("other")).alias("chunks_with_any_term"))
 
 
