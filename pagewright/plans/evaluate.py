@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.config import Search
-from pagewright.functions import text
+from pagewright.functions import dates, text
 from pagewright.operators import matching
 
 
@@ -26,11 +26,28 @@ def chunk_match(rows: DataFrame) -> DataFrame:
     return rows.withColumn("precision", precision).withColumn("recall", recall).withColumn("missing_chunk_ids", F.array_join(F.filter(wanted, lambda x: ~F.array_contains(found, x)), ", "))
 
 
-def expected_chunks(terms: DataFrame, chunks: DataFrame) -> DataFrame:
-    """query_id, chunk_id of chunks in the case that hold any word of the term, also inside a word."""
-    asked = terms.select("query_id", "case_ref", text.words(F.lower(F.trim("search_term"))).alias("ws")).filter(F.size("ws") > 0)
+def expected_chunks(terms: DataFrame, chunks: DataFrame, use_date_variants: bool = False, use_stemming: bool = False) -> DataFrame:
+    """query_id, chunk_id of chunks in the case that hold what the term asks for.
+
+    A term with a date: the whole term as it stands, or with ``use_date_variants`` any way of writing its dates. Any other
+    term: any of its words, also inside a word, or with ``use_stemming`` a word of the letters a to z with the stem of any.
+    """
+    term = F.trim("search_term")
+    asked = terms.select("query_id", "case_ref", term.alias("term"), text.words(F.lower(term)).alias("ws"), F.coalesce(dates.is_date(term), F.lit(False)).alias("dated")).filter(F.size("ws") > 0)
     body = chunks.select("chunk_id", "case_ref", F.lower("chunk_text").alias("body"))
-    return asked.join(body, "case_ref").filter(F.exists("ws", lambda w: F.contains("body", w))).select("query_id", "chunk_id")
+    whole = F.transform(dates.for_search(F.col("term")), lambda x: F.lower(x)) if use_date_variants else F.array(F.lower("term"))
+    sought = asked.withColumn("ws", F.when(F.col("dated"), whole).otherwise(F.col("ws")))
+    if use_stemming:
+        sought = sought.filter("dated")
+    found = sought.select("query_id", "case_ref", "ws").join(body, "case_ref").filter(F.exists("ws", lambda w: F.contains("body", w))).select("query_id", "chunk_id")
+    if not use_stemming:
+        return found
+    words = asked.filter("NOT dated").select("query_id", "case_ref", F.explode("ws").alias("word"))
+    held = body.select("chunk_id", "case_ref", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(r"(?<![\p{L}\p{N}_])([a-z]+)(?![\p{L}\p{N}_])"), F.lit(1)))).alias("word"))
+    known = matching.stems(words.select("word").unionByName(held.select("word")))
+    left = words.join(known, "word").select("query_id", "case_ref", "stem").distinct()
+    right = held.join(known.join(left.select("stem").distinct(), "stem", "left_semi"), "word").select("chunk_id", "case_ref", "stem")
+    return found.unionByName(left.join(right, ["case_ref", "stem"]).select("query_id", "chunk_id").distinct())
 
 
 def presence(hits: DataFrame, chunks: DataFrame, terms: DataFrame, methods: list[str]) -> DataFrame:
