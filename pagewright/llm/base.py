@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -17,16 +18,33 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 6 << 20
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, giving back what its task has freed, as Spark keeps the worker for later stages."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; one is made only where none is named."""
+    """The folder that the driver and all executors share; one is made only in a local run that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         context = spark.sparkContext
         named = context.getCheckpointDir()
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if not named:
             context.setCheckpointDir(tempfile.mkdtemp(prefix="pagewright-"))
             named = context.getCheckpointDir()
@@ -38,25 +56,30 @@ class Kept:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.at, self.n = spark, f"{scratch(spark)}/pagewright-{uuid.uuid4().hex}", 0
-        self.paths: dict[int, str] = {}
+        self.made: dict[int, tuple[DataFrame, str]] = {}
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         self.n += 1
         path = f"{self.at}/{self.n}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         gc.collect()  # so that shuffle files go that nothing reads any more
         self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
+        self.made[id(out)] = out, path
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Only for tables that no later result reads."""
         jvm = self.spark._jvm
         for df in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df)))
+            path = jvm.org.apache.hadoop.fs.Path(self.made.pop(id(df))[1])
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Drops all tables but those that the result reads."""
+        left = {id(df) for df in tables}
+        self.drop(*[df for at, (df, _) in self.made.items() if at not in left])
+
 
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
@@ -116,4 +139,4 @@ def rows_where(docs: DataFrame, decide: Callable[[pa.RecordBatch], np.ndarray])
                 yield batch.slice(start, piece.num_rows).filter(pa.array(decide(piece)))
                 start += piece.num_rows
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

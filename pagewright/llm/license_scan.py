@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm.base import documents_only, table, text_slices
+from pagewright.llm.base import documents_only, released, table, text_slices
 
 #: The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -29,75 +29,75 @@ NOTICES = {
 }
 TAG = "spdx license identifier"
 BASE_SURE, EXPRESSION_SURE = 0.6, 0.95
-#: Identifier families of expressions, by the part before the first digit or sign; with: terms that may be met freely.
-FAMILIES = {"mit": 1, "apache": 1, "bsd": 1, "isc": 1, "unlicense": 1, "zlib": 1, "cc": 1, "mpl": 0, "lgpl": 0, "gpl": 0, "agpl": 0, "epl": 0}
+#: Identifier families of expressions, by the part before the first digit or sign: 1 for terms that may be met freely.
+#: Other identifiers are labels too, but never count as free.
+FAMILIES = {"mit": 1, "apache": 1, "bsd": 1, "isc": 1, "unlicense": 1, "zlib": 1, "cc": 1, "mpl": 0, "lgpl": 0, "gpl": 0, "agpl": 0, "epl": 0, "artistic": 0, "cddl": 0, "eupl": 0, "osl": 0, "sspl": 0}
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, permissive boolean"
-_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*")
-_TAG = re.compile(r"spdx[^0-9a-z\x80-\U0010ffff]+license[^0-9a-z\x80-\U0010ffff]+identifier[ \t]*:?[ \t]*([A-Za-z0-9.+() -]{1,400})", re.IGNORECASE)
+_TOKEN = re.compile(r"[ \t]*(\(|\)|[A-Za-z0-9](?:[A-Za-z0-9.+:_-]*[A-Za-z0-9+])?)")
+_TAG = re.compile(r"spdx[^0-9a-z\x80-\U0010ffff]+license[^0-9a-z\x80-\U0010ffff]+identifier[ \t]*:?", re.IGNORECASE)
+#: An identifier that isn't of a known family has a capital letter, a digit or a hyphen, unlike a word of a sentence.
+_NAMED = re.compile(r"[A-Z0-9-]")
 _RANK = {"or": 1, "and": 2, "with": 3}
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
-def expression(text: str) -> tuple[set[str], bool] | None:
-    """The identifiers of the longest licence expression that ``text`` starts with, and whether it can be met by
-    permissive terms alone: ``or`` needs one side, ``and`` both, ``with`` weighs its left side. None: no expression."""
-    tokens = _TOKEN.findall(text)
-    for size in range(len(tokens), 0, -1):
-        if (found := _evaluate(tokens[:size])) is not None:
-            return found
-    return None
+def _family(token: str) -> str | None:
+    found = re.match(r"[a-z]+", token.lower())
+    return found[0] if found and found[0] in FAMILIES else None
 
 
-def _evaluate(tokens: list[str]) -> tuple[set[str], bool] | None:
+def _prefix(text: str, start: int) -> list[str]:
+    """The tokens of the longest expression that stands at ``start``; each is looked at once."""
+    tokens, whole, depth, operand = [], 0, 0, True
+    while m := _TOKEN.match(text, start):
+        token, start = m[1], m.end()
+        if token.lower() in _RANK or token == ")":
+            if operand or token == ")" and not depth:
+                break
+            depth -= token == ")"
+            operand = token != ")"
+        elif not operand or token != "(" and not (_family(token) or _NAMED.search(token)):
+            break
+        else:
+            depth += token == "("
+            operand = token == "("
+        tokens.append(token)
+        if not operand and not depth:
+            whole = len(tokens)
+    return tokens[:whole]
+
+
+def expression(text: str, start: int = 0) -> tuple[set[str], bool] | None:
+    """The identifiers of the longest licence expression that stands at ``start``, and whether it can be met by
+    permissive terms alone: ``or`` needs one side, ``and`` both, ``with`` weighs its left side, an identifier of no known
+    family isn't permissive. None: no expression."""
     out: list[tuple[set[str], bool]] = []
     signs: list[str] = []
-    operand = True
 
-    def reduce() -> bool:
+    def reduce() -> None:
         sign = signs.pop()
-        if sign not in _RANK or len(out) < 2:
-            return False
         (right, may_right), (left, may_left) = out.pop(), out.pop()
         may = {"or": may_left or may_right, "and": may_left and may_right, "with": may_left}[sign]
-        out.append((left if sign == "with" else left | right, may))
-        return True
+        left.update(right if sign != "with" else ())
+        out.append((left, may))
 
-    for token in tokens:
+    for token in _prefix(text, start):
         sign = token.lower()
         if sign in _RANK:
-            if operand:
-                return None
             while signs and signs[-1] != "(" and _RANK[signs[-1]] >= _RANK[sign]:
-                if not reduce():
-                    return None
+                reduce()
             signs.append(sign)
-            operand = True
         elif token == "(":
-            if not operand:
-                return None
             signs.append(token)
         elif token == ")":
-            if operand:
-                return None
-            while signs and signs[-1] != "(":
-                if not reduce():
-                    return None
-            if not signs:
-                return None
+            while signs[-1] != "(":
+                reduce()
             signs.pop()
         else:
-            family = re.match(r"[a-z]+", sign)
-            known = bool(family) and family[0] in FAMILIES
-            if not operand or not (known or signs and signs[-1] == "with"):
-                return None
-            out.append(({sign}, bool(known and FAMILIES[family[0]])))
-            operand = False
-    if operand:
-        return None
+            out.append(({sign}, bool(FAMILIES.get(_family(token) or "", 0))))
     while signs:
-        if not reduce():
-            return None
-    return out[0] if len(out) == 1 else None
+        reduce()
+    return out[0] if out else None
 
 
 def automaton():
@@ -149,7 +149,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     doubt *= 1 - NOTICES[phrase][1]
                 if any(phrase == TAG for phrase, _ in places):
                     for tag in _TAG.finditer(texts[doc].as_py()):
-                        if (read := expression(tag[1])) is not None:
+                        if (read := expression(tag.string, tag.end())) is not None:
                             labels |= read[0]
                             doubt *= 1 - EXPRESSION_SURE
                             columns["permissive"][doc] = read[1] and columns["permissive"][doc] is not False
@@ -171,11 +171,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame) -> DataFrame:
     """A row per document: its words, base phrases, labels and how sure they are.
 
-    A null or empty text has no words, no labels, and score 0. Repeated rows each get a row, a null doc_id stays
+    A null or empty text has no words, no labels, and score 0; a very long one is read whole, and so is an expression. Repeated rows each get a row, a null doc_id stays
     null, an empty table gives no rows; other columns of ``docs`` aren't read. ``permissive`` is null without an
     expression; of several, all must be permissive.
     """
-    return documents_only(docs).mapInArrow(_scan, SCHEMA)
+    return documents_only(docs).mapInArrow(released(_scan), SCHEMA)
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,14 +18,14 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm.base import documents_only, table, text_slices
+from pagewright.llm.base import documents_only, released, table, text_slices
 
 WINDOW = 2048
 #: Leftovers are cut to this, so that differencing has several parts for each window.
 PART = 256
 #: Documents and ids that one block holds at most, before it is packed.
 BLOCK_PARTS, BLOCK_IDS = 4096, 4 << 20
-WORDS_KEPT = 800_000
+WORDS_KEPT = 300_000
 #: The vocabulary's pieces break between a letter or digit and these.
 TAIL = ".,;:!?"
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -220,7 +220,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = WINDOW, part:
         out, at = block.packed(at)
         yield out
 
-    return documents_only(docs).mapInArrow(run, SCHEMA)
+    return documents_only(docs).mapInArrow(released(run), SCHEMA)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import Kept, documents_only, table, text_slices
-from pagewright.llm.spans import PII_KINDS, digest, joined, listed, pii_spans
+from pagewright.llm.base import Kept, documents_only, released, table, text_slices
+from pagewright.llm.spans import PII_KINDS, digest, joined, listed, pii_spans, touching
 
 #: Gazetteers: fixed lists, all lower case.
 GIVEN_NAMES = frozenset("james mary john patricia robert jennifer michael linda david elizabeth william barbara richard susan joseph jessica thomas sarah charles karen anna maria peter paul pierre marie jean sophie hans klaus jürgen ursula carlos josé carmen luis juan ana laura emma lucas julia".split())
@@ -37,8 +37,10 @@ EXTRA = {
 }
 LABELERS = ("regex", "format", "gazetteer", "before", "after")
 ROUNDS, SURE = 60, 0.5
+#: Counts of patterns go in as shares of so many, so that pseudo-counts and ridge weigh alike in every corpus.
+MASS = 1e5
 SCANNED = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base array<struct<kind:string,start:long,end:long>>, more array<struct<kind:string,start:long,end:long,pattern:string>>, patterns array<string>"
-FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, personal boolean"
 _WORD = re.compile(r"[\w'-]+")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -76,7 +78,7 @@ def votes(text: str, kind: str, start: int, end: int, base: bool) -> str:
 
 def candidates(text: str, base: list) -> list[tuple[str, int, int, str]]:
     """Spans of the other patterns that no base span touches."""
-    out = []
+    out, taken = [], touching((a, b) for _, a, b in base)
     digit = bool(_DIGIT.search(text))
     for kind, pattern in EXTRA.items():
         if kind in ("ssn", "iban", "phone") and not digit:
@@ -84,11 +86,11 @@ def candidates(text: str, base: list) -> list[tuple[str, int, int, str]]:
         if kind == "email" and "(at" not in (low := text.lower()) and "[at" not in low and "( at" not in low and "[ at" not in low:
             continue
         for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for _, a, b in base):
+            if not taken(*m.span()):
                 out.append((kind, *m.span()))
     if digit:  # near misses of base kinds teach the model what isn't personal
         for m in re.finditer(r"(?<![0-9])[0-9]{14,19}(?![0-9])", text):
-            if not any(a < m.end() and m.start() < b for _, a, b in base):
+            if not taken(*m.span()):
                 out.append(("card", *m.span()))
     return [(k, a, b, votes(text, k, a, b, False)) for k, a, b in sorted(out, key=lambda s: (s[1], s[2], s[0]))]
 
@@ -154,21 +156,21 @@ def accepted(patterns: list[str], counts: list[int]) -> dict[str, float]:
         return {}
     vote, x = _features(patterns)
     count = np.array(counts, np.float64)
-    count *= min(1.0, 1e6 / count.sum())
+    count *= MASS / count.sum()
     _, post = reliabilities(vote, count)
     score = 1 / (1 + np.exp(-np.clip(x @ classifier(x, post, count), -30, 30)))
     return dict(zip(patterns, score.tolist(), strict=True))
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """A row per document: counts and digest of base spans, and all spans, base and added.
+    """A row per document: counts and digest of base spans, all spans, base and added, and whether there are any.
 
-    A null or empty text has no spans. Repeated rows each get a row and count each time, a null doc_id stays null,
+    A null or empty text has no spans. A very long text is read whole, in time linear in it and its spans. Repeated rows each get a row and count each time, a null doc_id stays null,
     an empty table gives no rows; other columns aren't read. Only counts of vote patterns, whose number is bounded
     by kinds, votes and shapes, reach the driver.
     """
     kept = Kept(docs.sparkSession)
-    scanned = kept.write(documents_only(docs).mapInArrow(_scan, SCANNED))
+    scanned = kept.write(documents_only(docs).mapInArrow(released(_scan), SCANNED))
     counts = scanned.select(F.explode("patterns").alias("pattern")).groupBy("pattern").count().orderBy("pattern").collect()
     scores = accepted([r["pattern"] for r in counts], [r["count"] for r in counts])
     sure = {p for p, s in scores.items() if s >= SURE}
@@ -181,9 +183,9 @@ def find(docs: DataFrame) -> DataFrame:
                 spans = [(s["kind"], s["start"], s["end"]) for s in base]
                 added.append(len(own))
                 texts.append(joined(listed(spans + sorted(own), PII_KINDS)))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")], pa.array(texts, pa.string()), pa.array(added, pa.int64())], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")], pa.array(texts, pa.string()), pa.array(added, pa.int64()), pa.array([t != "" for t in texts], pa.bool_())], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "personal"])
 
-    return scanned.mapInArrow(run, FOUND)
+    return scanned.mapInArrow(released(run), FOUND)
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,14 +16,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import Kept, table, text_slices
-from pagewright.llm.spans import SECRET_KINDS, digest, secret_spans
+from pagewright.llm.base import Kept, released, table, text_slices
+from pagewright.llm.spans import SECRET_KINDS, digest, secret_spans, touching
 
 #: The scan's own kinds.
 EXTRA = {
     "bearer": re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    "forge": re.compile(r"\bgh[pousr]_[A-Za-z0-9]{30,255}\b"),
-    "private": re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    "forge": re.compile(r"\bgh[pousr]_[A-Za-z0-9]{30,}+\b"),
+    "private": re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     "random": re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"),
 }
 #: Owners from which on a candidate counts as an example, and bits a character from which on it looks random.
@@ -45,8 +45,9 @@ def candidates(text: str) -> list[dict]:
     for kind, pattern in EXTRA.items():
         if kind == "random" and not re.search("[0-9]", text) or kind == "bearer" and "eyJ" not in text or kind == "private" and "-----BEGIN" not in text:
             continue
+        taken = touching((a, b) for _, a, b, _, _ in rows)  # matches of one kind never touch each other
         for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for _, a, b, _, _ in rows):
+            if not taken(*m.span()):
                 rows.append((kind, *m.span(), m[0], False))
     rows.sort(key=lambda s: (s[1], SECRET_KINDS.index(s[0]) if s[0] in SECRET_KINDS else 9, s[0]))
     return [{"kind": k, "start": a, "end": b, "hash": hashlib.sha256(v.encode()).hexdigest()[:32], "bits": bits(v), "base": own} for k, a, b, v, own in rows]
@@ -76,7 +77,7 @@ def find(docs: DataFrame, owner: Column | None = None, repository: Column | None
     """A row per document: counts and digest of base spans, all spans, and how many look live or are examples.
 
     By default a source is an owner, and its documents of one language a repository; a null owner is one owner, ''.
-    A null or empty text has no spans. Repeated rows each get a row, a null doc_id stays null, an empty table gives
+    A null or empty text has no spans; a very long one is read whole. Repeated rows each get a row, a null doc_id stays null, an empty table gives
     no rows; columns that aren't named above aren't read. Added spans are those of the scan's own kinds that look
     live: random, and held by fewer than ``EXAMPLE_OWNERS`` owners. Base spans always stay.
     """
@@ -84,7 +85,7 @@ def find(docs: DataFrame, owner: Column | None = None, repository: Column | None
     repository = F.concat_ws("/", F.col("source").cast("string"), F.col("lang").cast("string")) if repository is None else repository
     kept = Kept(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"), F.col("text").cast("string").alias("text"))
-    scanned = kept.write(rows.mapInArrow(_scan, SCANNED))
+    scanned = kept.write(rows.mapInArrow(released(_scan), SCANNED))
     found = scanned.filter(F.size("found") > 0).select("row", "owner", "repository", F.explode("found").alias("c")).select("row", "owner", "repository", "c.*")
     verdict = kept.write(ownership(found))
     dealt = verdict.select("hash", (F.col("owners") >= EXAMPLE_OWNERS).alias("example"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))

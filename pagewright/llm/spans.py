@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections.abc import Callable, Iterable
 
 Span = tuple[str, int, int]
 
@@ -65,6 +67,24 @@ def secret_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda s: (s[1], SECRET_KINDS.index(s[0])))
 
 
+def touching(spans: Iterable[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a span shares a place with one of ``spans``; these are merged, so that each look is a binary search."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+
+    def meets(start: int, end: int) -> bool:
+        at = bisect_left(starts, end)
+        return at > 0 and ends[at - 1] > start
+
+    return meets
+
+
 def listed(spans: list[Span], kinds: tuple[str, ...]) -> list[Span]:
     """By start, then kind as listed; kinds that aren't listed come after, by name."""
     order = {k: i for i, k in enumerate(kinds)}

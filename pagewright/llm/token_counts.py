@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pagewright.llm.base import ascii_words, documents_only, table, text_slices
+from pagewright.llm.base import ascii_words, documents_only, released, table, text_slices
 
 SCHEMA = "doc_id long, n_words long, n_tokens long"
 WORDS_KEPT = 1_000_000
@@ -126,7 +126,7 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(per)]
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(per, pa.int64()), pa.array(np.diff(np.concatenate([[0], ends])), pa.int64())], names=["doc_id", "n_words", "n_tokens"])
 
-    return documents_only(docs).mapInArrow(run, SCHEMA)
+    return documents_only(docs).mapInArrow(released(run), SCHEMA)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import documents_only, rows_where, table, text_slices
+from pagewright.llm.base import documents_only, released, rows_where, table, text_slices
 
 #: Longest reach of a triple, the weight of each letter skipped, and the machine's size.
 REACH, DECAY, LANDMARKS = 6, 0.6, 128
@@ -298,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model | None:
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = documents_only(docs).filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")  # at most 2 x rows ids
     own = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    got = own.mapInArrow(_words, "doc_id long, toxic int, words array<string>").collect()
+    got = own.mapInArrow(released(_words), "doc_id long, toxic int, words array<string>").collect()
     got.sort(key=lambda r: r["doc_id"])
     one: dict[str, str] = {}  # of each word, one string for all documents
     words = [[one.setdefault(w, w) for w in r["words"]] for r in got]
@@ -335,7 +335,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                         own.append(names[code[i]])
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(model.score(summary(each, doc, code, n))), pa.array(worst, pa.list_(pa.string()))], names=["doc_id", "score", "worst"])
 
-    return documents_only(docs).mapInArrow(run, SCHEMA)
+    return documents_only(docs).mapInArrow(released(run), SCHEMA)
 
 
 def not_toxic(docs: DataFrame, model: Model | None, cut: float = CUT) -> DataFrame:

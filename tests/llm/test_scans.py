@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -45,6 +46,31 @@ def test_base_spans_equal_the_patterns(text):
     assert [s[:3] for s in spans.secret_spans(text)] == plain_secrets(text)
 
 
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 8))), st.integers(0, 45), st.integers(1, 6))
+def test_touching_equals_a_plain_look(made, start, size):
+    own = [(a, a + n) for a, n in made]
+    assert spans.touching(own)(start, start + size) == any(a < start + size and start < b for a, b in own)
+
+
+def test_many_spans_take_linear_time():
+    text = "x a@b.co 555-123-4567 ghp_" + "a1" * 20 + " "
+    began = time.time()
+    pii.candidates(text * 8000, spans.pii_spans(text * 8000))
+    secrets.candidates(text * 8000)
+    assert time.time() - began < 20
+
+
+def test_long_tokens_are_whole():
+    token = "ghp_" + "aB3dE" * 80
+    assert [(c["kind"], c["start"], c["end"]) for c in secrets.candidates(f"use {token} now")] == [("forge", 4, 4 + len(token))]
+
+
+def test_patterns_weigh_alike_in_every_corpus():
+    patterns, counts = ["email|+00+0|10", "email|+0+00|11", "phone|0+000|13", "phone|0-00-|13", "card|0-0-0|23"], [40, 25, 30, 20, 10]
+    one, many = pii.accepted(patterns, counts), pii.accepted(patterns, [c * 10**6 for c in counts])
+    assert all(abs(one[p] - many[p]) < 1e-9 for p in patterns)
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "+1 " * 70_000, "a@" * 100_000, "token " * 40_000, "0a" * 100_000):
         spans.pii_spans(text)
@@ -117,6 +143,28 @@ def test_leaks(spark):
     assert len(decontam.find(cases.awkward(spark), bench).collect()) == 9
 
 
+def test_short_items_are_whole_lines(spark):
+    bench = spark.createDataFrame([(1, "Tiny!"), (2, " -- "), (3, "x" * 23), (4, passage(4))], "item_id long, text string")
+    texts = ["intro\n  tiny\nmore", "a tiny thing", "TINY", "x" * 23 + ".", "x" * 24, "--", None]
+    got = {r.doc_id: list(r["items"]) for r in decontam.find(cases.documents(spark, texts), bench).collect()}
+    assert got == {0: [1], 1: [], 2: [1], 3: [3], 4: [], 5: [], 6: []}
+    assert sorted(r.doc_id for r in decontam.clean(cases.documents(spark, texts), bench).collect()) == [1, 4, 5, 6]
+
+
+def test_few_hits_at_a_time_find_the_same(monkeypatch):
+    """Many items share a phrase, and a text repeats it: postings are counted in stretches."""
+    import pyarrow as pa
+
+    phrase = passage(1, 12)
+    index = decontam.Index([(i, f"{passage(100 + i, 8)} {phrase} {passage(200 + i, 8)}") for i in range(40)])
+    text = " ".join([phrase] * 30 + [f"{passage(103, 8)} {phrase} {passage(203, 8)}"] + [phrase] * 30)
+    data, ends = decontam.plain(pa.array([text, passage(117, 8) + phrase + passage(217, 8)]))
+    want = [x.tolist() for x in index.matches(data, ends)]
+    monkeypatch.setattr(decontam, "HITS", 100)
+    assert [x.tolist() for x in index.matches(data, ends)] == want
+    assert {index.item[w] for w in want[1]} >= {3, 17}
+
+
 def test_alignment_equals_the_plain_recurrence():
     def plain(window, text):
         row = [0] * (len(text) + 1)
