@@ -4,8 +4,8 @@ SuperMinHash gives every shingle one random permutation of the signature's place
 that a document's places are filled by correlated ranks of lower variance, and a step at which every place holds a
 rank below the next one ends the work early. Documents with equal sets are one class from the start. Classes that
 share a band are checked against the band's first class; only where that leaves several groups in a band are the
-pairs across its groups checked too. So a band full of copies costs its number of classes, and no link is lost
-that shares a band: at a similarity of 0.75 all bands miss with a chance below 1e-4.
+pairs across its groups checked too, in large bands block by block on whole sets. So a band full of copies costs its
+number of classes, and no link is lost that shares a band: at a similarity of 0.75 all bands miss with a chance below 1e-4.
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import Kept, ascii_words, batches_of, table, text_slices
+from pagewright.llm.base import Kept, ascii_words, batches_of, released, table, text_slices
 from pagewright.llm.links import resolve
 
 WORDS, NEAR = 5, (75, 100)
@@ -33,10 +32,9 @@ _R, _LOW = np.uint64(33), np.uint64(0xFFFFFFFF)
 FEW = 50_000
 #: Texts, or pairs of sets, that a task passes on at once.
 ROWS_AT_ONCE = 500
-#: Places of two sketches that agree, at least, for sets of similarity 0.75: 3.6 standard deviations under 234, or
-#: more, as ranks of one element rule each other out. A sketch has 2 bits of each place, 32 places in a number.
-AGREE, PACKED = 210, 32
-SKETCH = "row long, doc_id long, text_key string, n_shingles long, set_key string, bands array<long>, sketch array<long>"
+#: Pairs of blocks of sets that a task reads at once.
+BLOCKS_AT_ONCE = 4
+SKETCH = "row long, doc_id long, text_key string, n_shingles long, set_key string, bands array<long>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -156,21 +154,6 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketches(signature: np.ndarray) -> np.ndarray:
-    """The lowest two bits of all places."""
-    low = (signature & np.uint64(3)).reshape(len(signature), -1, PACKED)
-    return (low << (np.arange(PACKED, dtype=np.uint64) * np.uint64(2))).sum(2, dtype=np.uint64).view(np.int64)
-
-
-def agreeing(x: Column, y: Column) -> Column:
-    """In how many places two sketches agree."""
-    out = F.lit(PLACES)
-    for i in range(PLACES // PACKED):
-        d = F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))
-        out = out - F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return out
-
-
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in text_slices(batch, limit=SLICE):
@@ -178,10 +161,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.diff(ends)
             keys = [xxhash.xxh3_128_hexdigest(hashes[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             signature = signatures(hashes, ends)[sizes > 0]
-            made, short = bands(signature), sketches(signature)
-            shorts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, short.shape[1], 0))]), pa.int32()), pa.array(short.reshape(-1)))
+            made = bands(signature)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]), pa.int32()), pa.array(made.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([piece.column("row"), piece.column("doc_id"), piece.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys), lists, shorts], names=["row", "doc_id", "text_key", "n_shingles", "set_key", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([piece.column("row"), piece.column("doc_id"), piece.column("text_key"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), lists], names=["row", "doc_id", "text_key", "n_shingles", "set_key", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,12 +174,33 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([piece.column("node"), data], names=["node", "shingles"])
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each outsider and each other group in its block, one member that is near, by counts over the block's postings."""
+    low, high = NEAR
     for batch in batches:
-        sizes = pc.binary_length(batch.column("shingles")).to_numpy(zero_copy_only=False) // 8
-        data = b"".join(x.as_buffer().to_pybytes() for x in batch.column("shingles"))
-        nodes = batch.column("node").to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, sizes)), pa.array(np.repeat(sizes, sizes).astype(np.int64)), pa.array(np.frombuffer(data, np.int64))], names=["node", "n", "shingle"])
+        pairs: list[np.ndarray] = []
+        for outsiders, members in zip(batch.column("outsiders"), batch.column("members"), strict=True):
+            theirs = members.values
+            own = [np.frombuffer(x.as_buffer(), np.uint64) for x in theirs.field("load")]
+            nodes, roots = (theirs.field(c).to_numpy(zero_copy_only=False) for c in ("node", "root"))
+            sizes = np.array([len(x) for x in own], np.int64)
+            flat, where = np.concatenate(own), np.repeat(np.arange(len(own)), sizes)
+            order = np.argsort(flat, kind="stable")
+            names, starts = np.unique(flat[order], return_index=True)
+            where, ends = where[order], np.append(starts[1:], len(flat))
+            for one in outsiders.values.to_pylist():
+                mine = np.frombuffer(one["load"], np.uint64)
+                at = np.searchsorted(names, mine)
+                at = at[names[np.minimum(at, len(names) - 1)] == mine]
+                counts = ends[at] - starts[at]
+                places = np.repeat(starts[at] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+                shared = np.bincount(where[places], minlength=len(own))
+                near = np.flatnonzero((high * shared >= low * (sizes + len(mine) - shared)) & (roots != one["root"]))
+                near = near[np.unique(roots[near], return_index=True)[1]]
+                if len(near):
+                    pairs.append(np.stack([np.full(len(near), one["node"]), nodes[near]]))
+        a, b = np.concatenate([np.zeros((2, 0), np.int64), *pairs], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,8 +249,8 @@ def group(docs: DataFrame, row: str | None = None) -> DataFrame:
     component_id is the smallest doc_id of the group, kept says whether it is the document's own, and ``stays`` is
     true for exactly one row of each group. Words are runs between the six ASCII white spaces, A-Z lower-cased. A
     null, empty or blank text has no shingles and stays alone. Repeated rows are one group; a null doc_id counts as
-    larger than any other, and a group of null ids has a null component_id. An empty table gives no rows. Only
-    doc_id and text are read, and ``row``, if a column numbers the rows and is written along with them.
+    larger than any other, and a group of null ids has a null component_id. An empty table gives no rows. A very long
+    text is read whole, in a slice of its own. Only doc_id and text are read, and ``row``, if a column numbers the rows and is written along with them.
     """
     spark = docs.sparkSession
     kept = Kept(spark)
@@ -255,7 +258,7 @@ def group(docs: DataFrame, row: str | None = None) -> DataFrame:
     own = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = own.select("row", "doc_id", _text_key(row).alias("text_key"), "text")
     with batches_of(spark, ROWS_AT_ONCE):
-        sketched = kept.write(rows.mapInArrow(_sketch, SKETCH))
+        sketched = kept.write(rows.mapInArrow(released(_sketch), SKETCH))
     full = sketched.filter("n_shingles > 0")
     classes = kept.write(full.groupBy("set_key").agg(F.min("row").alias("class"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("first")))
 
@@ -268,31 +271,30 @@ def group(docs: DataFrame, row: str | None = None) -> DataFrame:
         wanted = full.select(F.col("row").alias("node"), "text_key").join(nodes, "node", "left_semi")
         wanted = F.broadcast(wanted) if nodes.limit(FEW + 1).count() <= FEW else wanted.hint("shuffle_hash")
         with batches_of(spark, ROWS_AT_ONCE):
-            sets = kept.write(texts.join(wanted, "text_key").select("node", "text").mapInArrow(_sets, "node long, shingles binary"))
+            sets = kept.write(texts.join(wanted, "text_key").select("node", "text").mapInArrow(released(_sets), "node long, shingles binary"))
         if sets.count() > nodes.count():  # rows that repeat give a set more than once
             sets = kept.write(sets.dropDuplicates(["node"]))
         return sets
 
-    def finer(nodes: DataFrame) -> DataFrame:
-        """Each set's rarest shingles, as many as it can't lack: two near sets share one of them."""
-        each = kept.write(sets_of(nodes).mapInArrow(_each, "node long, n long, shingle long"))
-        common = each.groupBy("shingle").agg(F.count("*").alias("n_sets"))
-        rarest = Window.partitionBy("node").orderBy("n_sets", "shingle")
-        placed = each.join(common, "shingle").withColumn("place", F.row_number().over(rarest))
-        lacks = F.col("n") - F.ceil(F.col("n") * NEAR[0] / NEAR[1])
-        return placed.filter((F.col("place") <= lacks + 1) & (F.col("n_sets") > 1)).select(F.col("shingle").alias("key"), "node").join(full.select(F.col("row").alias("node"), "sketch"), "node")
+    def loads(nodes: DataFrame) -> DataFrame:
+        return sets_of(nodes).withColumnRenamed("shingles", "load")
+
+    def in_blocks(blocks: DataFrame) -> DataFrame:
+        with batches_of(spark, BLOCKS_AT_ONCE):
+            return kept.write(blocks.mapInArrow(released(_across), "a long, b long"))
 
     def links(pairs: DataFrame) -> DataFrame:
         sets = sets_of(kept.write(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()))
         two = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         with batches_of(spark, ROWS_AT_ONCE):
-            near = kept.write(two.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long"))
-        return near.mapInArrow(_union, "a long, b long")
+            near = kept.write(two.select("a", "b", "x", "y").mapInArrow(released(_verify), "a long, b long"))
+        return near.mapInArrow(released(_union), "a long, b long")
 
-    final = kept.write(resolve(kept, keyed, lambda n, m: high * F.least(n, m) >= low * F.greatest(n, m), links, finer, lambda x, y: agreeing(x, y) >= AGREE))
+    final = kept.write(resolve(kept, keyed, lambda n, m: high * F.least(n, m) >= low * F.greatest(n, m), links, loads, in_blocks))
     placed = classes.join(final.select(F.col("node").alias("class"), "root"), "class", "left").select("set_key", "first", F.coalesce("root", "class").alias("root"))
     lowest = placed.groupBy("root").agg(F.min("first").alias("lowest"))
     by_set = kept.write(placed.join(lowest, "root").select("set_key", F.col("lowest.doc_id").alias("component_id"), F.col("lowest.row").alias("stay")))
+    kept.keep_only(sketched, by_set)
     fixed = ["row", "doc_id", "n_shingles"]
     grouped = full.select(*fixed, "set_key").join(by_set, "set_key").select(*fixed, "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), (F.col("row") == F.col("stay")).alias("stays"))
     alone = sketched.filter("n_shingles = 0").select(*fixed, F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), F.lit(True).alias("stays"))
