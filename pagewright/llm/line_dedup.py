@@ -1,20 +1,20 @@
-"""Fuzzy line dedup: keys from the least hashes of a line's features, edit similarity, connected groups.
-
-Everything is DataFrame expressions, and a line's keys come from the line alone, so that no word is shuffled. Lines
-are alike if at most a tenth of the longer one's characters are edited. Candidates are lines that share a key:
-
-* up to ``SHORT`` characters: if k edits are allowed, one of k + 1 segments of the shorter line stands in the longer
-  one, at most k places off; all such places are keys, so that no pair is missed;
-* up to ``MID`` characters, and above that with hardly any blanks: each two of the 7 least hashes of 5 characters in a row;
-* longer: each two of the 5 least hashes of two words in a row, without punctuation.
-
-The last two miss a pair with a chance that grows with the share of features that are edited. Bounds of the lengths overlap by
-more than a tenth, so that lines that may be alike have keys of one kind.
+"""Fuzzy line dedup: SimHash of normalised lines, pigeonhole blocks, edit similarity, connected groups.
+
+Everything is DataFrame expressions. Two lines are alike if at most a tenth of the longer one's characters must be
+edited. A line's fingerprint is a SimHash in ``BLOCKS`` blocks: each feature of the line votes in one block alone, which
+its hash chooses. So edits change the blocks of the edited features, and leave all others equal bit by bit: by the
+pigeonhole principle, lines whose differing features lie in fewer blocks than there are share one. Blocks are keys of
+candidates; the votes of all features give the line's whole SimHash, and candidates further than ``FAR`` bits apart
+are left out before texts are compared.
+
+Features are content words, or runs of letters where a line is short or has few words. Of a longer line, those vote
+whose hash ends in zeros, a bit more for each doubling of the length, so that a block always holds a few. Levels of length
+overlap by more than a tenth, so that lines that may be alike always have blocks of one level.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,132 +22,193 @@ from pyspark.sql import functions as F
 from pagewright.llm.base import Kept, table
 from pagewright.llm.links import resolve
 
-#: Lines with fewer distinct words are left alone: blank ones.
-LEAST_WORDS = 1
-#: Bits of a SimHash that may differ: all, as links depend on edits alone. The share of characters that may be edited.
-FAR, EDITS = 63, 0.1
-#: Characters up to which lines have segments, and characters, as keys; the least hashes taken of characters and of words.
-SHORT, MID = 33, 89
-GRAM, GRAMS, PAIRS = 5, 7, 5
-#: Up to so many lines, some 60 bytes each, are sent to every task; more are joined where they lie.
+#: The share of characters that may be edited; bits of two SimHashes that may differ (unrelated lines: 28 on average).
+EDITS, FAR = 0.1, 19
+#: Blocks of a fingerprint.
+BLOCKS = 7
+#: Kinds of features: lengths of lines from and below which they are taken, the length from which all of them vote (half
+#: of them from twice that length, and so on), and features of a block, at least.
+KINDS = {"twos": (9, 34, None, 2), "fours": (31, 200, 25, 3), "words": (180, 2**31 - 1, 160, 3)}
+#: Letters of a content word, at least; a line has few words if there is under one in so many characters.
+LETTERS, FEW_WORDS = 4, 16
+#: Sums that hold votes: each has seven counters of eight bits, for every eighth bit of a hash.
+SUMS = 8
+_COUNTERS = sum(1 << 8 * i for i in range(7))
+#: All but letters, marks, digits and line breaks; a line without any letter stands as it is.
+_NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
+#: Texts are moved in so many parts after each other, so that shuffle files of a part at most lie on disk.
+PARTS = 2
+#: Up to so many line numbers, 8 bytes each, are sent to every task; more are joined where they lie.
 FEW = 50_000
-#: White space that isn't a single blank; only lines that hold some need a regular expression.
-_ODD = ("  ", "\t", "\r", "\x0b", "\f")
 
 
-def normalized(line: Column) -> Column:
-    """In lower case, with single blanks between words."""
-    odd = F.contains(line, F.lit(_ODD[0]))
-    for blank in _ODD[1:]:
-        odd = odd | F.contains(line, F.lit(blank))
-    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
+def own_key() -> list[Column]:
+    """What names a document: its id and 128 bits of its text."""
+    text = F.col("text").cast("string")
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(1), text).alias("text_hash2")]
+
+
+OWN = ["doc_id", "text_hash", "text_hash2"]
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, norm: each line."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
-    split = own.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return split.select("doc_id", "text_hash", "line_no", normalized(F.col("line")).alias("norm"))
-
-
-def sketches(lines: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, line_hash, size, pairs, grams, segments of lines that aren't blank."""
-    norm = F.col("norm")
-    own = lines.filter("norm <> ''")
-    own = own.withColumn("size", F.length("norm")).withColumn("words", F.when(F.col("size") > MID * 8 // 9, F.filter(F.split("norm", r"[^\p{L}\p{M}\p{N}]+"), lambda x: x != "")).otherwise(F.array().cast("array<string>")))
-    n, size = F.size("words"), F.col("size")
-    wordy = (size > MID * 8 // 9) & (n * 20 >= size)
-    fine = (size > SHORT - 4) & ((size <= MID) | (n * 16 < size))
-    pairs = F.when(wordy, _least(F.transform(F.slice("words", 1, n - 1), lambda w, i: F.xxhash64(w, F.get("words", i + 1))), PAIRS))
-    own = own.withColumn("chars", F.when(fine, F.split(norm, "")))
-    grams = F.when(fine, _least(F.transform(F.slice("chars", 1, size - GRAM + 1), lambda c, i: F.xxhash64(c, *[F.get("chars", i + j) for j in range(1, GRAM)])), GRAMS))
-    return own.select("doc_id", "text_hash", "line_no", F.xxhash64("norm").alias("line_hash"), "size", pairs.alias("pairs"), grams.alias("grams"), _segments(norm, size).alias("segments"))
-
-
-def _least(hashes: Column, n: int) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, n)
-
-
-def _twos(sketch: str, n: int, salt: int) -> Column:
-    """A key for each two of the hashes; for each one too where there are hardly any."""
-    twos = [F.when(F.size(sketch) > j, F.xxhash64(F.lit(salt), F.get(sketch, F.lit(i)), F.get(sketch, F.lit(j)))) for i, j in combinations(range(n), 2)]
-    ones = [F.when((F.size(sketch) > i) & (F.size(sketch) < 4), F.xxhash64(F.lit(salt + 1), F.get(sketch, F.lit(i)))) for i in range(3)]
-    return F.when(F.col(sketch).isNull(), F.array().cast("array<long>")).otherwise(F.array_compact(F.array(*twos, *ones)))
-
-
-def _segments(norm: Column, size: Column) -> Column:
-    """Keys of a short line: its own segments for lines that are as long or longer, and all places of segments of lines as long or shorter."""
-    own, places = [], []
-    for most in range(1, SHORT // 10 + 1):
-        for part in range(most + 1):
-            # ``most`` edits belong to longer lines of 10 * most to 10 * most + 9 characters
-            start, end = F.floor(size * part / (most + 1)).cast("int"), F.floor(size * (part + 1) / (most + 1)).cast("int")
-            own.append(F.when(size.between(9 * most, 10 * most + 9), F.xxhash64(F.lit(most), F.lit(part), size, F.substring(norm, start + 1, end - start))))
-            for less in range(most + 1):
-                other = size - less
-                start, end = F.floor(other * part / (most + 1)).cast("int"), F.floor(other * (part + 1) / (most + 1)).cast("int")
-                for off in range(-most, most + 1):
-                    at = start + off
-                    places.append(F.when((F.floor(size / 10) == most) & (at >= 0) & (at + end - start <= size), F.xxhash64(F.lit(most), F.lit(part), other, F.substring(norm, at + 1, end - start))))
-    return F.when(size.between(9, SHORT), F.array_distinct(F.array_compact(F.array(*own, *places)))).otherwise(F.array().cast("array<long>"))
+    """doc_id, text_hash, text_hash2, line_no, norm, size, h1, h2 (128 bits of norm) of lines that aren't blank.
+
+    norm: lower-cased words with single blanks between them.
+    """
+    low = docs.select(*own_key(), F.lower(F.col("text").cast("string")).alias("low"))
+    both = F.arrays_zip(F.split(F.regexp_replace("low", _NO_WORD, " "), "\n").alias("words"), F.split("low", "\n").alias("line"))
+    split = low.select(*OWN, F.posexplode(both).alias("line_no", "both")).select(*OWN, "line_no", F.trim("both.words").alias("words"), F.trim(F.translate("both.line", "\t\r\x0b\f", "    ")).alias("line"))
+    normed = split.select(*OWN, "line_no", F.when(F.col("words") != "", F.col("words")).otherwise(F.col("line")).alias("norm")).filter("norm <> ''")
+    return normed.select("*", F.length("norm").alias("size"), F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"))
+
+
+def majority(sums: list[Column], n: Column) -> Column:
+    """The bits that more than half of ``n`` hashes have, from sums of the counters. Counters of more than 255 votes run
+    over, always alike."""
+    lift = (F.lit(127) - F.shiftright(F.least(n, F.lit(255)), 1)).cast("long") * _COUNTERS  # so that a counter's top bit tells
+    bits = [F.shiftright(s + lift, 7).bitwiseAND(F.lit(_COUNTERS)) * (1 << i) for i, s in enumerate(sums)]
+    return reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+
+def _kinds(size: Column) -> Column:
+    """tag, level: the kinds of features and the levels that a line of this length has."""
+    found = []
+    for tag, (low, high, whole, _) in enumerate(KINDS.values()):
+        levels = [F.lit(0)]
+        if whole:
+            level = lambda length: F.greatest(F.floor(F.log2(size / F.lit(length))).cast("int"), F.lit(0))
+            upper, lower = level(whole * 0.9), level(whole)
+            levels = [lower, F.when(upper != lower, upper)]
+        found += [F.when((size >= low) & (size < high) & k.isNotNull(), F.struct(F.lit(tag).alias("tag"), k.alias("level"))) for k in levels]
+    return F.array_compact(F.array(*found))
+
+
+def fingerprints(lines: DataFrame) -> DataFrame:
+    """node, sim, keys of lines (node, size, norm): for each of a line's kinds and levels its SimHash, and a key for each
+    block with enough features, as others would tell nothing. Votes are sums, made where the lines lie if node deals them out."""
+    own = lines.select("node", "size", "norm", F.explode(_kinds(F.col("size"))).alias("kind")).select("node", "size", "norm", "kind.*")
+    runs = {n: F.regexp_extract_all("norm", F.lit(f"(?s)(?=({'.' * n}))"), 1) for n in (2, 4)}
+    n_words = F.col("size") - F.length(F.replace("norm", F.lit(" "))) + 1
+    features = F.when(F.col("tag") == 0, runs[2]).when((F.col("tag") == 1) | (n_words * FEW_WORDS < F.col("size")), runs[4]).otherwise(F.split("norm", " "))
+    line = ["node", "size", "tag", "level"]
+    each = own.select(*line, F.explode(features).alias("feature")).filter((F.col("tag") < 2) | (F.length("feature") >= LETTERS)).select(*line, F.xxhash64("feature").alias("h"))
+    voting = each.filter(F.col("h").bitwiseAND(F.expr("shiftleft(1L, level) - 1")) == 0)
+    zero = F.lit(0).cast("long")
+    counted = [F.coalesce(F.try_sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_COUNTERS))), zero).alias(f"s{i}") for i in range(SUMS)]
+    blocks = voting.groupBy(*line, F.pmod("h", F.lit(BLOCKS)).cast("int").alias("block")).agg(*counted, F.count("*").cast("int").alias("n"))
+    least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS.values()]), F.col("tag") + 1)
+    sums = [F.col(f"s{i}") for i in range(SUMS)]
+    keyed = blocks.withColumn("key", F.when(F.col("n") >= least, F.xxhash64("tag", "level", "block", majority(sums, F.col("n")))))
+    whole = [F.coalesce(F.try_sum(x), zero).alias(f"s{i}") for i, x in enumerate(sums)]
+    voted = keyed.groupBy(*line).agg(*whole, F.sum("n").cast("int").alias("n"), *[F.max(F.when(F.col("block") == b, F.col("key"))).alias(f"key_{b}") for b in range(BLOCKS)])
+    return voted.select("node", "size", majority(sums, F.col("n")).alias("sim"), F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
+
+
+def _may(one: Column, two: Column) -> Column:
+    """Lengths allow a link, and SimHashes are near."""
+    a, b = one["size"], two["size"]
+    return (F.abs(a - b) <= F.floor(F.greatest(a, b) * EDITS)) & (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR)
+
+
+def _shared(x: Column, y: Column) -> Column:
+    """How many characters both start with, by halving steps."""
+    same = lambda at, step: F.substring(x, at + 1, step) == F.substring(y, at + 1, step)
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(22))])
+    return F.aggregate(F.filter(steps, lambda s: s <= F.least(F.length(x), F.length(y))), F.lit(0), lambda at, step: at + F.when(same(at, step), step).otherwise(0))
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is made once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _alike(x: Column, y: Column) -> Column:
+    """At most a tenth of the longer line is edited. What both start and end with is cut off, and few edits are tried first,
+    as the time goes with the square of what is left, and with the edits allowed."""
+    most = F.floor(F.greatest(F.length(x), F.length(y)) * EDITS).cast("int")
+
+    def within(z: Column) -> Column:
+        tried = lambda n: F.call_function("levenshtein", z["x"], z["y"], F.least(z["most"], F.lit(n))) >= 0
+        return tried(6) | ((z["most"] > 6) & (tried(40) | ((z["most"] > 40) & tried(2**30))))
+
+    cut = lambda z, at: F.struct(F.reverse(F.substring(z["x"], at + 1, F.length(z["x"]))).alias("x"), F.reverse(F.substring(z["y"], at + 1, F.length(z["y"]))).alias("y"), z["most"].alias("most"))
+    whole = F.struct(x.alias("x"), y.alias("y"), most.alias("most"))
+    stripped = lambda z: _let(_let(_shared(z["x"], z["y"]), lambda at: cut(z, at)), lambda r: _let(_let(_shared(r["x"], r["y"]), lambda at: cut(r, at)), within))
+    return F.when(F.abs(F.length(x) - F.length(y)) <= most, _let(whole, stripped)).otherwise(False)
+
+
+def _alike_in_blocks(blocks: DataFrame) -> DataFrame:
+    """(a, b) of each outsider and, of every other group in its block, one line that is alike."""
+
+    def met(one: Column) -> Column:
+        near = F.filter("members", lambda two: (two["root"] != one["root"]) & _may(one["trait"], two["trait"]) & _alike(one["load"], two["load"]))
+        return F.transform(near, lambda two: F.struct(two["root"].alias("root"), one["node"].alias("a"), two["node"].alias("b")))
+
+    found = blocks.select(F.explode(F.flatten(F.transform("outsiders", met))).alias("pair"))
+    return found.groupBy("pair.a", "pair.root").agg(F.min("pair.b").alias("b")).select("a", "b")
 
 
 def decide(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, dropped (line numbers from 0, ascending): documents that lose lines."""
+    """doc_id, text_hash, text_hash2, dropped (line numbers from 0, ascending): documents that lose lines."""
     kept = Kept(docs.sparkSession)
-    lines = lines_of(docs)
-    found = kept.write(sketches(lines))
-    place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "line_no")
-    classes = kept.write(found.groupBy("line_hash").agg(F.first("size").alias("size"), *[F.first(c).alias(c) for c in ("pairs", "grams", "segments")], F.min(place).alias("first"), F.max(place).alias("last")))
-    keys = F.concat(_twos("pairs", PAIRS, 1000), _twos("grams", GRAMS, 2000), F.col("segments"))
-    keyed = classes.select(F.explode(keys).alias("key"), F.col("line_hash").alias("node"), F.col("size").alias("trait"))
+    # every line once with its text; what follows moves no text but that of one line of each kind
+    lines = kept.write(lines_of(docs).withColumn("node", F.monotonically_increasing_id()), "zstd")
+    place = F.struct(F.col("doc_id").isNull().alias("null"), *OWN, "line_no")
+    kinds = kept.write(lines.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.min(place).alias("first"), (F.count("*") > 1).alias("many")))
+    parts = []
+    for i in range(PARTS):
+        texts, own = (df.filter(F.pmod(F.xxhash64("node"), F.lit(PARTS)) == i) for df in (lines.select("node", "size", "norm"), kinds.select("node")))
+        parts.append(kept.write(fingerprints(texts.repartition("node").join(own.hint("shuffle_hash"), "node", "left_semi"))))
+    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim").alias("trait"))
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        wanted = F.broadcast(nodes) if nodes.limit(FEW + 1).count() <= FEW else nodes
+        return lines.select("node", F.col("norm").alias("load")).join(wanted, "node", "left_semi")
 
     def links(pairs: DataFrame) -> DataFrame:
-        nodes = kept.write(pairs.select(F.col("a").alias("line_hash")).unionByName(pairs.select(F.col("b").alias("line_hash"))).distinct())
-        at = classes.join(nodes, "line_hash", "left_semi").select("first.doc_id", "first.text_hash", "first.line_no", F.col("line_hash").alias("node"))
-        # a text goes once to the place of its lines, though many may be wanted
-        by_text = at.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("line_no", "node")).alias("wanted"))
-        by_text = F.broadcast(by_text) if nodes.limit(FEW + 1).count() <= FEW else by_text.hint("shuffle_hash")
-        own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
-        same = own.alias("o").join(by_text.alias("w"), F.col("o.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("o.text_hash") == F.col("w.text_hash")))
-        picked = same.select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("at")).select(F.col("at.node").alias("node"), normalized(F.get("lines", F.col("at.line_no"))).alias("norm"))
-        texts = kept.write(picked)
-        if texts.count() > nodes.count():  # rows that repeat give a line more than once
-            texts = kept.write(texts.dropDuplicates(["node"]))
-        two = pairs.join(texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("norm").alias("y")), "b")
-        most = F.floor(F.greatest(F.length("x"), F.length("y")) * EDITS).cast("int")
-        near = two.withColumn("most", most).filter("abs(length(x) - length(y)) <= most").filter("levenshtein(x, y, most) >= 0")
-        return near.select("a", "b")
-
-    roots = resolve(kept, keyed, lambda s, t: F.abs(s - t) <= F.floor(F.greatest(s, t) * EDITS), links)
-    rooted = classes.join(roots.withColumnRenamed("node", "line_hash"), "line_hash", "left").select("line_hash", "first", "last", F.coalesce("root", "line_hash").alias("root"))
-    stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), F.max("last").alias("last")).filter("stay <> last")
-    many = rooted.select("line_hash", "root").join(stays, "root").select("line_hash", "stay")
-    lost = found.select("doc_id", "text_hash", "line_no", "line_hash").join(many, "line_hash").filter(place != F.col("stay"))
-    return kept.write(lost.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
+        nodes = kept.write(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+        texts = kept.write(texts_of(nodes))
+        two = pairs.join(texts.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
+        return two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
+
+    roots = resolve(kept, keyed, _may, links, texts_of, _alike_in_blocks)
+    rooted = kinds.join(roots, "node", "left").select("h1", "h2", "first", "many", F.coalesce("root", "node").alias("root"))
+    stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), (F.bool_or("many") | (F.count("*") > 1)).alias("many")).filter("many").select("root", "stay")
+    many = kept.write(rooted.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stay"))
+    lost = lines.select(*OWN, "line_no", "h1", "h2").join(many, ["h1", "h2"]).filter(place != F.col("stay"))
+    dropped = kept.write(lost.groupBy(*OWN).agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
+    kept.keep_only(dropped)
+    return dropped
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """All columns of ``docs``, the text without the lines that are dropped, and ``dropped``, their numbers from 0.
 
     Of each connected group of alike lines the one stays that comes first by doc_id (null last), then text hash and
-    line number; blank lines all stay. A null or empty text stays as it is. Rows that
-    repeat both doc_id and text are one document, and each of them keeps what it keeps. An empty table gives no rows.
+    line number; blank lines all stay. Lines of any length take part, and a very long text or line is read whole; a
+    text without line breaks is one line. A null or empty text stays as it is. Rows that repeat both doc_id and text
+    are one document, and each of them keeps what it keeps. An empty table gives no rows. Other columns pass through,
+    whatever their names; only one named ``dropped`` is replaced.
     """
     return _with_dropped(docs, decide(docs)).withColumn("text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("dropped"), i)), "\n")))
 
 
+def _same(left: str, right: str) -> Column:
+    return F.col(f"{left}0").eqNullSafe(F.col(f"{right}0")) & (F.col(f"{left}1") == F.col(f"{right}1")) & (F.col(f"{left}2") == F.col(f"{right}2"))
+
+
 def _with_dropped(docs: DataFrame, lost: DataFrame) -> DataFrame:
     names = [c for c in docs.columns if c != "dropped"]
-    left = docs.select(*names, F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.col("text").cast("string")).alias("__hash"))
-    right = lost.select(F.col("doc_id").alias("__own_id"), F.col("text_hash").alias("__own_hash"), "dropped")
-    return left.join(right, F.col("__id").eqNullSafe(F.col("__own_id")) & (F.col("__hash") == F.col("__own_hash")), "left").select(*names, "dropped")
+    left = docs.select(*names, *[c.alias(f"__own{i}") for i, c in enumerate(own_key())])
+    right = lost.select(*[F.col(c).alias(f"__lost{i}") for i, c in enumerate(OWN)], "dropped")
+    return left.join(right, _same("__own", "__lost"), "left").select(*names, "dropped")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each document: its lines, how many are dropped, and their numbers. The texts aren't moved for that."""
     docs = table(spark, sf_dir, "documents")
-    lost = decide(docs)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
-    joined = own.alias("o").join(lost.alias("l"), F.col("o.doc_id").eqNullSafe(F.col("l.doc_id")) & (F.col("o.text_hash") == F.col("l.text_hash")), "left")
-    return joined.select("o.doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(F.array_join(F.transform("dropped", lambda x: x.cast("string")), ","), F.lit("")).alias("dropped"))
+    lost = decide(docs).select(*[F.col(c).alias(f"__lost{i}") for i, c in enumerate(OWN)], "dropped")
+    own = docs.select(*[c.alias(f"__own{i}") for i, c in enumerate(own_key())], F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"))
+    joined = own.join(lost, _same("__own", "__lost"), "left")
+    return joined.select(F.col("__own0").alias("doc_id"), "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce(F.array_join(F.transform("dropped", lambda x: x.cast("string")), ","), F.lit("")).alias("dropped"))

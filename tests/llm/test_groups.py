@@ -2,13 +2,15 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from pagewright.llm import line_dedup, near_dedup
+from pagewright.llm import line_dedup, links, near_dedup
 from pagewright.llm.base import Kept
 from pagewright.llm.links import components
 
@@ -72,6 +74,26 @@ def test_groups_take_awkward_tables(spark):
     assert sorted(str(r.doc_id) for r in rows) == ["1", "2", "3", "4", "4", "5", "6", "7", "None"]
     assert [r.kept for r in rows if r.doc_id == 4] == [True, True] and sum(r.stays for r in rows if r.doc_id == 4) == 1
     assert near_dedup.group(cases.empty(spark)).count() == 0
+    blank = near_dedup.group(cases.documents(spark, [None, "", " \t\n"]).coalesce(1)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept, r.stays) for r in blank) == [(i, 0, i, True, True) for i in range(3)]
+
+
+def test_crowded_bands_equal_brute_force(spark, monkeypatch):
+    """One text with so many edits that most pairs of copies share bands, and few are near: blocks of a few, so that there are many."""
+    monkeypatch.setattr(links, "CROWD", 4)
+    monkeypatch.setattr(links, "BLOCK", 16)
+    monkeypatch.setattr(links, "CHECKED", 1)
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for _ in range(260):
+        own = list(base)
+        for at in draw.sample(range(100), draw.randrange(1, 6)):
+            own[at] = f"v{draw.randrange(10**6)}"
+        texts.append(" ".join(own))
+    _, roots = brute(dict(enumerate(texts)))
+    got = {r.doc_id: r.component_id for r in near_dedup.group(cases.documents(spark, texts)).collect()}
+    assert got == roots and 1 < len(set(roots.values())) < 200
 
 
 def test_signatures_estimate_the_similarity():
@@ -108,11 +130,11 @@ def test_shingles_of_slices_equal_those_of_single_texts():
 
 
 def test_components_of_chains_stars_and_rings(spark):
-    links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
-    random.Random(2).shuffle(links)
-    df = spark.createDataFrame(links, "a long, b long")
+    own = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
+    random.Random(2).shuffle(own)
+    df = spark.createDataFrame(own, "a long, b long")
     got = {r.node: r.root for r in components(Kept(spark), df).collect()}
-    want = grouped({x for p in links for x in p if x != 300}, links[:-1] if links[-1] == (300, 300) else [p for p in links if p[0] != p[1]])
+    want = grouped({x for p in own for x in p if x != 300}, [p for p in own if p[0] != p[1]])
     assert got == want
     assert components(Kept(spark), df.limit(0)).count() == 0
 
@@ -121,7 +143,8 @@ def test_components_of_chains_stars_and_rings(spark):
 
 
 def norm(line):
-    return " ".join(line.lower().split())
+    low = line.lower()
+    return " ".join(regex.findall(r"[\p{L}\p{M}\p{N}]+", low)) or low.strip()
 
 
 def distance(a, b):
@@ -134,17 +157,12 @@ def distance(a, b):
     return row[-1]
 
 
-def lines_left(spark, texts):
-    """By brute force: SimHashes from Spark's own word hashes, all pairs of lines, edit distances by the recurrence."""
-    places = [(d, n, norm(line)) for d, t in texts.items() for n, line in enumerate((t or "").split("\n")) if len(set(norm(line).split())) >= line_dedup.LEAST_WORDS]
-    words = sorted({w for _, _, x in places for w in x.split()})
-    hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
-    simhash = {}
-    for x in {x for _, _, x in places}:
-        own = [hashes[w] for w in set(x.split())]
-        simhash[x] = sum(1 << b for b in range(63) if 2 * sum(h >> b & 1 for h in own) > len(own))
-    kinds = sorted(simhash)
-    linked = [(a, b) for a in kinds for b in kinds if a < b and (simhash[a] ^ simhash[b]).bit_count() <= line_dedup.FAR and abs(len(a) - len(b)) <= max(len(a), len(b)) // 10 and distance(a, b) <= max(len(a), len(b)) // 10]
+def lines_left(texts):
+    """By brute force: all pairs of lines, edit distances by the recurrence, without any fingerprint."""
+    places = [(d, n, norm(line)) for d, t in texts.items() for n, line in enumerate((t or "").split("\n")) if norm(line)]
+    kinds = sorted({x for _, _, x in places})
+    bag = {x: Counter(x) for x in kinds}
+    linked = [(a, b) for a in kinds for b in kinds if a < b and abs(len(a) - len(b)) <= (most := max(len(a), len(b)) // 10) and max((bag[a] - bag[b]).total(), (bag[b] - bag[a]).total()) <= most and distance(a, b) <= most]
     root = grouped(kinds, linked)
     first = {}
     for d, n, x in sorted(places):
@@ -166,7 +184,7 @@ def test_lines_equal_brute_force(spark):
             lines.append(draw.choice([" ", "  ", ", "]).join(words) + draw.choice(["", ".", "!"]))
         texts[d] = "\n".join(lines)
     texts |= {60: None, 61: "", 62: "\n\n", 63: "short line\nshort line"}
-    want, gone, linked = lines_left(spark, texts)
+    want, gone, linked = lines_left(texts)
     df = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in texts.items()], "doc_id long, text string, lang string, dropped string, line_no int")
     got = {r.doc_id: r.text for r in line_dedup.dedup(df).collect()}
     assert got == want and gone and linked
@@ -176,6 +194,36 @@ def test_lines_take_awkward_tables(spark):
     rows = line_dedup.dedup(cases.awkward(spark)).collect()
     assert len(rows) == 9 and {r.text for r in rows if r.doc_id == 4} == {"a row that is there twice"}
     assert line_dedup.dedup(cases.empty(spark)).count() == 0
+    alone = line_dedup.dedup(cases.documents(spark, [None, "", " \n\t", "---\n***\n---"])).orderBy("doc_id").collect()
+    assert [r.text for r in alone] == [None, "", " \n\t", "---\n***"]
+
+
+def test_votes_are_majorities(spark):
+    draw = random.Random(8)
+    rows = [(n, [draw.getrandbits(64) - 2**63 for _ in range(n)]) for n in (1, 2, 3, 15, 16, 17, 40, 255)]
+    each = spark.createDataFrame(rows, "n int, h array<long>").select("n", "h", F.explode("h").alias("x"))
+    sums = [F.sum(F.shiftrightunsigned("x", i).bitwiseAND(F.lit(line_dedup._COUNTERS))) for i in range(line_dedup.SUMS)]
+    for r in each.groupBy("n", "h").agg(line_dedup.majority(sums, F.col("n")).alias("s")).collect():
+        assert r.s == sum(1 << b for b in range(56) if 2 * sum(h >> b & 1 for h in r.h) > r.n)
+
+
+def test_crowded_lines_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(links, "CROWD", 4)
+    monkeypatch.setattr(links, "BLOCK", 8)
+    monkeypatch.setattr(links, "CHECKED", 1)
+    draw = random.Random(6)
+    base = ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(30)]
+    texts = {}
+    for d in range(120):
+        own = list(base)
+        for at in draw.sample(range(30), draw.randrange(0, 5)):
+            own[at] = "".join(draw.choice("klmnopqrst") for _ in range(6))
+        texts[d] = " ".join(own)
+    want, gone, linked = lines_left(texts)
+    got = {r.doc_id: r.text for r in line_dedup.dedup(cases.documents(spark, list(texts.values()))).collect()}
+    assert linked and 2 * sum(got[d] == want[d] for d in texts) > len(texts)
+    assert {d for d in texts if not got[d]} <= {d for d in texts if not want[d]}
+    assert sum(not got[d] for d in texts) >= 0.9 * len(gone)
 
 
 # Pipeline ------------------------------------------------------------------------------------------------------
@@ -201,7 +249,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     model = toxicity.train(docs, labels)
     scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
     left = {i: t for i, t in rows if scores[i] < toxicity.CUT}
-    cut, _, _ = lines_left(spark, left)
+    cut, _, _ = lines_left(left)
     left = {i: t for i, t in cut.items() if t == left[i] or (t or "").strip()}
     _, roots = brute(left)
     left = {i: t for i, t in left.items() if roots[i] == i}
