@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pagewright.config import Layout, LineSentence, WordStream
 from pagewright.functions import geometry, ids
@@ -17,83 +15,56 @@ from pagewright.sources.derived import layout_blocks, lines, meta, pages
 ENDS = (".", "?", "!")
 
 
-def word_stream_starts(words: Column, config: WordStream) -> Column:
-    """At these settings a chunk ends at the first sentence end from its smallest size on, at its largest size, or
-    before a gap, whichever comes first."""
-    gap = round(config.max_vertical_gap * geometry.UNITS)
+def _state(**fields: Column) -> Column:
+    return F.struct(*[c.alias(n) for n, c in fields.items()])
 
-    def begins(a, w):
-        return a["closed"] | (w["top"] - a["bottom"] > gap)
 
-    def then(a, w, new):
-        count = F.when(new, 1).otherwise(a["count"] + 1)
-        return {"count": count, "closed": ((count >= config.min_words) & w["ends"]) | (count >= config.max_words), "bottom": w["bottom"]}
+def _int(value) -> Column:
+    return F.lit(value).cast("int")
 
-    return starts(words, {"count": typed(0, "int"), "closed": typed(False, "boolean"), "bottom": typed(None, "int")}, begins, then)
 
+def word_stream_starts(words: Column, config: WordStream) -> Column:
+    """Places at which chunks start. A chunk ends with the first sentence end from its smallest size on, at its largest
+    size, or before a gap, whichever comes first; one that is full without a sentence end is cut after the last
+    sentence end among its last ``backward_words``, and what follows that stays open.
 
-def word_stream_walk(words: list[dict], config: WordStream) -> list[int]:
-    """The same for any settings, by walking: looks ahead for a sentence end, and back from the largest size."""
+    How far is looked ahead for a sentence end doesn't matter: the nearest one that fits is met anyway, and a gap before it
+    comes first either way. Sentence ends count only from ``asked`` on, as what is left after a cut isn't asked again.
+    """
     gap = round(config.max_vertical_gap * geometry.UNITS)
-    out, held, i = [], [], 0  # held: places of the words of the open chunk
-
-    def emit(upto: int) -> None:
-        out.append(held[0])
-        del held[:upto]
-
-    def hard() -> None:
-        for back in range(1, min(config.backward_words, len(held)) + 1):
-            cut = len(held) - back + 1
-            if words[held[-back]]["ends"] and 0 < cut < len(held):
-                return emit(cut)
-        emit(len(held))
-
-    while i < len(words):
-        if held and words[i]["top"] - words[held[-1]]["bottom"] > gap:
-            emit(len(held))
-        if held and len(held) + 1 > config.max_words:
-            hard()
-        held.append(i)
-        if len(held) >= config.min_words:
-            ahead = next((j for j in range(min(config.forward_words, len(words) - i - 1) + 1) if words[i + j]["ends"]), None)
-            if ahead is not None and len(held) + ahead <= config.max_words:
-                stopped = False
-                for _ in range(ahead):
-                    if words[i + 1]["top"] - words[held[-1]]["bottom"] > gap:
-                        stopped = True
-                        break
-                    i += 1
-                    held.append(i)
-                emit(len(held))
-                if stopped:
-                    i += 1
-                    continue
-            elif len(held) >= config.max_words:
-                hard()
-        i += 1
-    if held:
-        emit(len(held))
-    return out
-
-
-def _walked(paged: DataFrame, config: WordStream) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [word_stream_walk([{"top": w["top"], "bottom": w["bottom"], "ends": w["ends"]} for w in page], config) for page in batch.column("words").to_pylist()]
-            yield batch.append_column("starts", pa.array(at, pa.list_(pa.int32())))
-
-    return paged.mapInArrow(run, T.StructType([*paged.schema.fields, T.StructField("starts", T.ArrayType(T.IntegerType()))]))
+    indexed = F.transform(words, lambda w, i: _state(i=i, top=w["top"], bottom=w["bottom"], ends=w["ends"]))
+    first = _state(starts=F.array().cast("array<int>"), start=_int(0), asked=_int(0), ended=_int(-1), bottom=_int(None), closed=F.lit(True))
+
+    def step(a: Column, w: Column) -> Column:
+        new = a["closed"] | F.coalesce(w["top"] - a["bottom"] > gap, F.lit(False))
+        start = F.when(new, w["i"]).otherwise(a["start"])
+        size, asked = w["i"] - start + 1, F.when(new, w["i"]).otherwise(a["asked"])
+        done = w["ends"] & (w["i"] >= asked) & (size >= config.min_words)
+        full = ~done & (size >= config.max_words)
+        cut = full & (a["ended"] >= F.greatest(start, w["i"] - config.backward_words + 1))
+        starts = F.when(new, F.array_append(a["starts"], w["i"])).otherwise(a["starts"])
+        return _state(
+            starts=F.when(cut, F.array_append(starts, a["ended"] + 1)).otherwise(starts),
+            start=F.when(cut, a["ended"] + 1).otherwise(start),
+            asked=F.when(cut, w["i"] + 1).otherwise(asked),
+            ended=F.when(w["ends"], w["i"]).otherwise(a["ended"]),
+            bottom=w["bottom"].cast("int"),
+            closed=done | (full & ~cut),
+        )
+
+    return F.aggregate(indexed, first, step, lambda a: a["starts"])
 
 
 def word_stream(docs: DataFrame, config: WordStream = WordStream()) -> DataFrame:
     """Chunks of each page's words with their boxes; chunk_index starts anew on every page."""
     paged = pages(docs)
-    cut = paged.withColumn("starts", word_stream_starts(F.col("words"), config)) if config.closed_form else _walked(paged, config)
+    cut = paged.withColumn("starts", word_stream_starts(F.col("words"), config))
     hand = F.exists("words", lambda w: w["text_type"] == "HANDWRITING")
+    spaced = lambda c: F.trim(F.when(c.contains("  ") | c.contains("\t") | c.contains("\n"), F.regexp_replace(c, r"\s+", " ")).otherwise(c)) if config.normalize_spacing else F.trim(c)
     each = cut.select("doc_id", "page_num", hand.alias("page_contains_handwriting"), F.posexplode(segments(F.col("words"), F.col("starts"))).alias("chunk_index", "part"))
     part = F.col("part")
     return each.select(
-        "doc_id", "page_num", "chunk_index", F.array_join(F.transform(part, lambda w: w["text"]), " ").alias("chunk_text"), F.size(part).alias("n_words"),
+        "doc_id", "page_num", "chunk_index", spaced(F.array_join(F.transform(part, lambda w: w["text"]), " ")).alias("chunk_text"), F.size(part).alias("n_words"),
         F.array_min(F.transform(part, lambda w: w["left"])).alias("left"), F.array_min(F.transform(part, lambda w: w["top"])).alias("top"),
         F.array_max(F.transform(part, lambda w: w["right"])).alias("right"), F.array_max(F.transform(part, lambda w: w["bottom"])).alias("bottom"), "page_contains_handwriting",
     )
@@ -106,48 +77,51 @@ def with_ids(chunks: DataFrame, docs: DataFrame) -> DataFrame:
     return chunks.join(about, "doc_id").withColumn("chunk_id", ids.uuid5(key))
 
 
-def line_sentence_walk(rows: list[dict], config: LineSentence) -> list[list[int]]:
-    """Places of each chunk's lines. A line after a gap opens a chunk and isn't looked at for closing; else from the
-    smallest size on the chunk closes at a sentence end in this or the next three lines, at the largest size, or
-    is split after the last sentence end of its last three lines."""
+def line_sentence_starts(rows: Column, config: LineSentence) -> Column:
+    """Places at which chunks of lines start: one fold, for which each line knows the nearest sentence end of it and the
+    next three, and the words up to there.
+
+    From its smallest size on, a chunk takes all lines up to that end if they fit its largest size, ends at its
+    largest size, or is cut after the last sentence end of its last three lines. A line after a gap opens a chunk, and
+    isn't asked for closing; lines that are taken up to a sentence end aren't asked for gaps.
+    """
     gap = round(config.max_vertical_gap * geometry.UNITS)
-    out: list[list[int]] = []
-    held: list[int] = []
-    bottom, i = None, 0
-    count = lambda: sum(rows[k]["n_words"] for k in held)
-    while i < len(rows):
-        if bottom is not None and rows[i]["top"] - bottom > gap:
-            if held:
-                out.append(held)
-            held, bottom = [i], rows[i]["bottom"]
-            i += 1
-            continue
-        held.append(i)
-        bottom = rows[i]["bottom"]
-        if count() >= config.min_words:
-            close, ahead = False, 0
-            for j in range(min(3, len(rows) - i - 1) + 1):
-                if rows[i + j]["ends"]:
-                    close = count() + sum(rows[i + k]["n_words"] for k in range(1, j + 1)) <= config.max_words
-                    ahead = j if close else 0
-                    break
-            close = close or count() >= config.max_words
-            if close:
-                held += range(i + 1, i + 1 + ahead)
-                i += ahead
-                out.append(held)
-                held, bottom = [], None
-            else:
-                for back in range(1, min(3, len(held)) + 1):
-                    if rows[held[-back]]["ends"]:
-                        cut = len(held) - back + 1
-                        out.append(held[:cut])
-                        held = held[cut:]
-                        break
-        i += 1
-    if held:
-        out.append(held)
-    return out
+
+    def known(x: Column, i: Column) -> Column:
+        ahead = reduce(lambda found, j: found.when(F.get(rows, i + j)["ends"], _int(j)), range(1, 4), F.when(x["ends"], _int(0)))
+        more = reduce(lambda total, j: total + F.when(ahead >= j, F.get(rows, i + j)["n_words"]).otherwise(0), range(1, 4), _int(0))
+        return _state(i=i, top=x["top"], bottom=x["bottom"], n=x["n_words"], ends=x["ends"], ahead=ahead, more=more)
+
+    # start and count: of the open chunk; ended: the last sentence end; after: words since then; taken: the last line that joins unasked
+    first = _state(starts=F.array().cast("array<int>"), start=_int(0), count=_int(0), ended=_int(-1), after=_int(0), taken=_int(-1), bottom=_int(None), closed=F.lit(True))
+
+    def step(a: Column, x: Column) -> Column:
+        unasked = x["i"] <= a["taken"]
+        far = ~unasked & F.coalesce(x["top"] - a["bottom"] > gap, F.lit(False))
+        new = a["closed"] | far
+        start = F.when(new, x["i"]).otherwise(a["start"])
+        count = F.when(new, x["n"]).otherwise(a["count"] + x["n"])
+        ended = F.when(x["ends"], x["i"]).otherwise(a["ended"])
+        after = F.when(x["ends"], 0).when(new, x["n"]).otherwise(a["after"] + x["n"])
+        asked = ~unasked & ~far & (count >= config.min_words)
+        fits = asked & F.coalesce(count + x["more"] <= config.max_words, F.lit(False)) & x["ahead"].isNotNull()
+        full = asked & ~fits & (count >= config.max_words)
+        cut = asked & ~fits & ~full & (ended >= F.greatest(start, x["i"] - 2))
+        taken = F.when(fits, x["i"] + x["ahead"]).otherwise(a["taken"])
+        closed = full | ((unasked | fits) & (x["i"] == taken))
+        starts = F.when(new, F.array_append(a["starts"], x["i"])).otherwise(a["starts"])
+        return _state(
+            starts=F.when(cut, F.array_append(starts, ended + 1)).otherwise(starts),
+            start=F.when(cut, ended + 1).otherwise(start),
+            count=F.when(cut, after).otherwise(count).cast("int"),
+            ended=ended,
+            after=after.cast("int"),
+            taken=taken,
+            bottom=F.when(~closed, x["bottom"]).cast("int"),
+            closed=closed,
+        )
+
+    return F.aggregate(F.transform(rows, known), first, step, lambda a: a["starts"])
 
 
 def usable_lines(docs: DataFrame) -> DataFrame:
@@ -159,50 +133,52 @@ def line_sentences(docs: DataFrame, config: LineSentence = LineSentence()) -> Da
     """Chunks of whole lines that end with sentences; a page's lines fit one array."""
     ends = F.right(F.rtrim("text"), F.lit(1)).isin(*ENDS)
     paged = usable_lines(docs).groupBy("doc_id", "page_num").agg(F.array_sort(F.collect_list(F.struct("top", "line_pos", "bottom", "left", "right", "n_words", ends.alias("ends"), "text"))).alias("rows"))
-    out = "doc_id long, page_num int, chunk_index int, chunk_text string, n_words int, left int, top int, right int, bottom int"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made: list[tuple] = []
-            for doc_id, page, rows in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "page_num", "rows")), strict=True):
-                for index, places in enumerate(line_sentence_walk(rows, config)):
-                    own = [rows[k] for k in places]
-                    made.append((doc_id, page, index, " ".join(r["text"] for r in own), sum(r["n_words"] for r in own), min(r["left"] for r in own), min(r["top"] for r in own), max(r["right"] for r in own), max(r["bottom"] for r in own)))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), *[pa.int32()] * 5]
-            columns = list(zip(*made, strict=True)) if made else [()] * 9
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "page_num", "chunk_index", "chunk_text", "n_words", "left", "top", "right", "bottom"])
-
-    return paged.mapInArrow(run, out)
-
-
-def _lines_of_blocks(docs: DataFrame, kind: str) -> DataFrame:
-    """doc_id, page_num, p, items: a block's lines of the given layout type, in order."""
-    types = {"SECTION_HEADER": (0,), "TEXT": (1, 2), "LIST": (3,), "TABLE": (4,)}[kind]
-    own = lines(docs).filter("p >= 0").filter((F.col("p") % 5).isin(*types))
+    each = paged.select("doc_id", "page_num", F.posexplode(segments(F.col("rows"), line_sentence_starts(F.col("rows"), config))).alias("chunk_index", "part"))
+    part = F.col("part")
+    return each.select(
+        "doc_id", "page_num", "chunk_index", F.array_join(F.transform(part, lambda x: x["text"]), " ").alias("chunk_text"), F.aggregate(part, _int(0), lambda n, x: (n + x["n_words"]).cast("int")).alias("n_words"),
+        F.array_min(F.transform(part, lambda x: x["left"])).alias("left"), F.array_min(F.transform(part, lambda x: x["top"])).alias("top"),
+        F.array_max(F.transform(part, lambda x: x["right"])).alias("right"), F.array_max(F.transform(part, lambda x: x["bottom"])).alias("bottom"),
+    )
+
+
+#: Numbers of the derived layout types.
+_TYPES = {"SECTION_HEADER": (0,), "TEXT": (1, 2), "LIST": (3,), "TABLE": (4,)}
+
+
+def _lines_of_blocks(docs: DataFrame, *kinds: str) -> DataFrame:
+    """doc_id, page_num, p, items: the lines of blocks of the given layout types, in order."""
+    own = lines(docs).filter("p >= 0").filter((F.col("p") % 5).isin(*[n for kind in kinds for n in _TYPES[kind]]))
     return own.groupBy("doc_id", "page_num", "p").agg(F.array_sort(F.collect_list(F.struct("row_no", "text", "left", "top", "right", "bottom"))).alias("items"), F.max("confidence").alias("confidence"))
 
 
-def _exploded(cut: DataFrame, separator: str = " ") -> DataFrame:
+def _exploded(cut: DataFrame, separator: str = " ", *more: str) -> DataFrame:
     part = F.col("part")
     return cut.select(
         "doc_id", "page_num", "p", "part_no", F.array_join(F.transform(part, lambda x: x["text"]), separator).alias("chunk_text"), F.array_min(F.transform(part, lambda x: x["left"])).alias("left"),
-        F.array_min(F.transform(part, lambda x: x["top"])).alias("top"), F.array_max(F.transform(part, lambda x: x["right"])).alias("right"), F.array_max(F.transform(part, lambda x: x["bottom"])).alias("bottom"), "confidence",
+        F.array_min(F.transform(part, lambda x: x["top"])).alias("top"), F.array_max(F.transform(part, lambda x: x["right"])).alias("right"), F.array_max(F.transform(part, lambda x: x["bottom"])).alias("bottom"), "confidence", *more,
     )
 
 
-def layout_text(docs: DataFrame, config: Layout = Layout(), kinds: tuple[str, ...] = ("SECTION_HEADER", "TEXT")) -> DataFrame:
-    """A block's lines, packed while the text stays within the limit; a longer first line stays alone."""
+def _packed(items: Column, config: Layout) -> Column:
+    """Lines, packed while their text stays within the limit; a longer first line stays alone."""
 
     def then(a, x, new):
         size = F.length(F.trim(x["text"]))
         return {"size": F.when(new, size).otherwise(a["size"] + 1 + size)}
 
-    blocks = None
-    for kind in kinds:
-        own = _lines_of_blocks(docs, kind)
-        blocks = own if blocks is None else blocks.unionByName(own)
-    at = starts(F.col("items"), {"size": typed(0, "int")}, lambda a, x: a["size"] + 1 + F.length(F.trim(x["text"])) > config.max_chars, then)
-    return _exploded(blocks.withColumn("at", at).select("*", F.posexplode(segments(F.col("items"), F.col("at"))).alias("part_no", "part")))
+    at = starts(items, {"size": typed(0, "int")}, lambda a, x: a["size"] + 1 + F.length(F.trim(x["text"])) > config.max_chars, then)
+    return segments(items, at)
+
+
+def _single(items: Column) -> Column:
+    """Each line that isn't blank, alone."""
+    return F.transform(F.filter(items, lambda x: F.trim(x["text"]) != ""), lambda x: F.array(x))
+
+
+def layout_text(docs: DataFrame, config: Layout = Layout(), kinds: tuple[str, ...] = ("SECTION_HEADER", "TEXT")) -> DataFrame:
+    """A block's lines, packed while the text stays within the limit; a longer first line stays alone."""
+    return _exploded(_lines_of_blocks(docs, *kinds).select("*", F.posexplode(_packed(F.col("items"), config)).alias("part_no", "part")))
 
 
 def list_items(docs: DataFrame) -> DataFrame:
@@ -240,8 +216,14 @@ def visual_rows(blocks: DataFrame, config: Layout = Layout()) -> DataFrame:
     return _exploded(cut.withColumn("part", part).withColumn("part_no", F.col("row_no")).withColumn("confidence", F.lit(None).cast("double")))
 
 
-def line_table(blocks: DataFrame, config: Layout = Layout()) -> DataFrame:
-    """One chunk for a table whose text is short, its rows joined by line breaks; else one for each row."""
+def line_table(blocks: DataFrame, config: Layout = Layout(), recovered: DataFrame | None = None) -> DataFrame:
+    """One chunk for a table whose text is short, its rows joined by line breaks; else one for each row.
+
+    ``recovered`` are lines that the table names but its children lack, as from ``missed_lines``: they join the rows.
+    """
+    names = ("doc_id", "page_num", "p", "text", "left", "top", "right", "bottom")
+    if recovered is not None:
+        blocks = blocks.select(*names).unionByName(recovered.select(*names))
     rows = visual_rows(blocks, config)
     whole = rows.groupBy("doc_id", "page_num", "p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part_no", "chunk_text"))), lambda x: x["chunk_text"]), "\n").alias("whole"), *geometry.enclosing("all_"))
     both = rows.join(whole, ["doc_id", "page_num", "p"])
@@ -268,13 +250,14 @@ def key_values(blocks: DataFrame) -> DataFrame:
 
 
 def atomic(docs: DataFrame, config: Layout = Layout()) -> DataFrame:
-    """Every block routed to its type's chunker, and numbered within its page."""
-    text = layout_text(docs, config).withColumn("chunk_type", F.when(F.col("p") % 5 == 0, "LAYOUT_SECTION_HEADER").otherwise("LAYOUT_TEXT"))
-    lists = list_items(docs).withColumn("chunk_type", F.lit("LAYOUT_TEXT"))
+    """Every block routed to its type's chunker, and numbered within its page. Lines are derived once for all but tables."""
+    items, kind = F.col("items"), F.col("p") % 5
+    cut = F.when(kind.isin(*_TYPES["LIST"]), _single(items)).otherwise(_packed(items, config))
+    blocks = _lines_of_blocks(docs, "SECTION_HEADER", "TEXT", "LIST")
+    text = _exploded(blocks.select("*", F.posexplode(cut).alias("part_no", "part"))).withColumn("chunk_type", F.when(kind == 0, "LAYOUT_SECTION_HEADER").otherwise("LAYOUT_TEXT"))
     confidence = (F.lit(90) + F.col("p") % 10).cast("double")
     tables = line_table(table_lines(docs), config).withColumn("confidence", confidence).withColumn("chunk_type", F.lit("LAYOUT_TABLE"))
-    out = text.unionByName(lists).unionByName(tables)
-    return out.withColumn("chunk_index", F.row_number().over(Window.partitionBy("doc_id", "page_num").orderBy("p", "part_no")) - 1)
+    return text.unionByName(tables).withColumn("chunk_index", F.row_number().over(Window.partitionBy("doc_id", "page_num").orderBy("p", "part_no")) - 1)
 
 
 def merge(chunks: DataFrame, config: Layout = Layout()) -> DataFrame:
@@ -290,8 +273,7 @@ def merge(chunks: DataFrame, config: Layout = Layout()) -> DataFrame:
     each = grouped.withColumn("at", at).select("doc_id", "page_num", F.posexplode(segments(F.col("items"), F.col("at"))).alias("part_no", "part"))
     first = F.get("part", F.lit(0))
     out = each.withColumn("p", F.lit(0)).withColumn("confidence", first["confidence"]).withColumn("chunk_type", first["chunk_type"])
-    typed_rows = out.select("doc_id", "page_num", F.col("part_no").alias("chunk_index"), "chunk_type")
-    return _exploded(out).drop("p").withColumnRenamed("part_no", "chunk_index").join(typed_rows, ["doc_id", "page_num", "chunk_index"]).withColumn("page_contains_handwriting", F.lit(False))
+    return _exploded(out, " ", "chunk_type").drop("p").withColumnRenamed("part_no", "chunk_index").withColumn("page_contains_handwriting", F.lit(False))
 
 
 def missed_lines(edges: DataFrame, actual: DataFrame, blocks: DataFrame) -> DataFrame:

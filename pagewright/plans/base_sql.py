@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pagewright.config import NAMESPACE
 from pagewright.functions.text import INDEX_STOP_WORDS, STOP_WORDS
 
@@ -86,6 +88,17 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "odv": (("od",), "SELECT o_orderkey, d, day(d) AS dd, month(d) AS mm, year(d) AS yy, strftime(d, '%B') AS full_name, strftime(d, '%b') AS short_name, CASE WHEN day(d) IN (1,21,31) THEN 'st' WHEN day(d) IN (2,22) THEN 'nd' WHEN day(d) IN (3,23) THEN 'rd' ELSE 'th' END AS th FROM od"),
 }
 
+PARTS |= {
+    "dc": (("odv",), "SELECT o_orderkey AS chunk_id, o_custkey AS case_ref, 'Order '||o_orderpriority||' paid '||dd||' '||short_name||' '||yy||' in full.' AS chunk_text FROM odv JOIN orders USING (o_orderkey)"),
+    "dst": (("odv",), "SELECT o_orderkey AS query_id, o_custkey AS case_ref, o_orderpriority||' of '||dd||' '||full_name||' '||yy AS search_term, dd, mm, yy, full_name, short_name, th FROM odv JOIN orders USING (o_orderkey) WHERE o_orderkey % 50 = 0"),
+    "dvs0": (("dst", "ev", "dc"), "SELECT q.query_id, k.chunk_id, round((1 + list_cosine_similarity(a.v, b.v))/2, 6) AS score FROM dst q JOIN dc k USING (case_ref) JOIN ev a ON a.vec_id = q.query_id % (SELECT count(*) FROM ev) JOIN ev b ON b.vec_id = k.chunk_id % (SELECT count(*) FROM ev)"),
+    "dvs": (("dvs0",), "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM dvs0) WHERE rank <= 40"),
+}
+# the lexical clause over dated terms and texts: the same parts, over dc and dst
+for _name in ("tk", "tot", "ask", "held", "dfq", "bm"):
+    _needs, _body = PARTS[_name]
+    PARTS["d" + _name] = tuple("d" + n for n in _needs), re.sub(r"(FROM|JOIN|,) (c|st|tk|tot|ask|held|dfq)\b", r"\1 d\2", _body)
+
 RECURSIVE = {"cs", "lt", "vr", "mg"}
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pagewright.plans import evaluate, retrieval
 from pagewright.plans.base_sql import DOC_KEY, STOP, sql, uuid5
 from pagewright.sources import derived
 from pagewright.sources.derived import read
+from pagewright.sources.staging import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,6 +47,11 @@ def terms(spark, d) -> DataFrame:
     return derived.terms(read(spark, d, "benchmark"))
 
 
+def searched(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Chunks and terms for searches, whose clauses all read them: written once."""
+    return staged(chunks(spark, d).select("chunk_id", "doc_id", "page_num", "chunk_index", "case_ref", "chunk_text")), staged(terms(spark, d))
+
+
 BOX_SQL = '("right" - "left")/1000.0 AS width, (bottom - top)/1000.0 AS height, "left"/1000.0 AS "left", top/1000.0 AS top, "right"/1000.0 AS "right", bottom/1000.0 AS bottom'
 
 
@@ -285,7 +292,7 @@ def safe_int_cast(spark, d):
 
 @query("term_frequency", "SELECT query_id, chunk_id, n FROM tf", "tf")
 def term_frequency(spark, d):
-    c, t = chunks(spark, d), terms(spark, d)
+    c, t = searched(spark, d)
     own = _hits(spark, d, c, t).join(c.select("chunk_id", "chunk_text"), "chunk_id").join(t.select("query_id", "search_term"), "query_id")
     return own.select("query_id", "chunk_id", text.occurrences(F.col("chunk_text"), F.col("search_term")).alias("n"))
 
@@ -540,7 +547,7 @@ def _clauses(spark, d, c, t, k: int = 40) -> tuple[DataFrame, DataFrame]:
 
 def _hits(spark, d, c, t, search_type: str = "hybrid") -> DataFrame:
     lexical, vector = _clauses(spark, d, c, t)
-    return retrieval.hybrid(lexical, vector, None, Search(), search_type)
+    return staged(retrieval.hybrid(lexical, vector, None, Search(), search_type))
 
 
 @query("embed_chunks")
@@ -550,7 +557,7 @@ def embed_chunks(spark, d):
 
 @query("bm25_scores", "SELECT query_id, chunk_id, score FROM bm", "bm")
 def bm25_scores(spark, d):
-    return retrieval.bm25(chunks(spark, d), terms(spark, d))
+    return retrieval.bm25(*searched(spark, d))
 
 
 @query("knn_topk", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (SELECT q.vec_id AS query_id, e.vec_id, round((1 + list_cosine_similarity(q.v, e.v))/2, 6) AS score FROM ev q JOIN ev e USING (label) WHERE q.vec_id < 40)) WHERE rank <= 40", "ev")
@@ -585,16 +592,53 @@ def date_clause_all(spark, d):
 
 @query("hybrid_topk", "SELECT query_id, chunk_id, score, rank FROM hits", "hits")
 def hybrid_topk(spark, d):
-    return _hits(spark, d, chunks(spark, d), terms(spark, d))
+    return _hits(spark, d, *searched(spark, d))
 
 
 @query("search_by_type", "SELECT 'keyword' AS search_type, query_id, chunk_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM (SELECT query_id, chunk_id, round(score*20.0, 5) AS score FROM bm)) WHERE rank <= 40 UNION ALL SELECT 'semantic', query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score*4.0, 5) DESC, chunk_id) FROM vs", "bm", "vs")
 def search_by_type(spark, d):
-    lexical, vector = _clauses(spark, d, chunks(spark, d), terms(spark, d))
+    lexical, vector = _clauses(spark, d, *searched(spark, d))
     parts = [retrieval.hybrid(lexical, vector, None, Search(), k).select(F.lit(k).alias("search_type"), "query_id", "chunk_id", "rank") for k in ("keyword", "semantic")]
     return parts[0].unionByName(parts[1])
 
 
+_DATED = f"SELECT DISTINCT query_id, chunk_id FROM (SELECT query_id, case_ref, unnest({_ways('dd||chr(32)||full_name||chr(32)||yy')}) AS way FROM dst) JOIN dc USING (case_ref) WHERE contains(' '||replace(lower(chunk_text), '.', ' ')||' ', ' '||lower(way)||' ')"
+_TYPED = " UNION ALL ".join(
+    f"SELECT '{kind}' AS search_type, query_id, chunk_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM (SELECT query_id, chunk_id, round(sum(score), 5) AS score FROM ({' UNION ALL '.join(parts)}) GROUP BY ALL)"
+    for kind, parts in {
+        k: [b for b, there in (("SELECT query_id, chunk_id, score*20.0 AS score FROM dbm", k != "semantic"), ("SELECT query_id, chunk_id, score*4.0 AS score FROM dvs", k[:6] != "keywor"), (f"SELECT query_id, chunk_id, 4.0 AS score FROM ({_DATED})", k.endswith("dates"))) if there]
+        for k in retrieval.TYPES
+    }.items()
+)
+
+
+def _dated_clauses(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders as texts of their customer's case, and every fiftieth as a term with a date: the three clauses."""
+    own = staged(read(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("case_ref"), "o_orderpriority", F.to_date("o_orderdate").alias("day")))
+    text_of = F.concat(F.lit("Order "), F.col("o_orderpriority"), F.lit(" paid "), F.date_format("day", "d MMM yyyy"), F.lit(" in full."))
+    c = own.select(F.col("o_orderkey").alias("chunk_id"), "case_ref", text_of.alias("chunk_text"))
+    t = own.filter("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("query_id"), "case_ref", F.concat("o_orderpriority", F.lit(" of "), F.date_format("day", "d MMMM yyyy")).alias("search_term"))
+    e = retrieval.unit(read(spark, d, "embeddings").select("vec_id", "embedding"))
+    total = e.agg(F.count("*").alias("n"))  # one row
+    place = lambda rows, key: rows.crossJoin(F.broadcast(total)).select(key, "case_ref", (F.col(key) % F.col("n")).alias("vec_id")).join(e, "vec_id")
+    vector = retrieval.knn(place(t, "query_id").select("query_id", "case_ref", F.col("embedding").alias("vector")), place(c, "chunk_id").select("chunk_id", "case_ref", "embedding"), "case_ref", "chunk_id")
+    return staged(retrieval.bm25(c, t)), staged(vector.select("query_id", "chunk_id", "score")), staged(retrieval.date_clause(c, t))
+
+
+@query("hybrid_dates_topk", f"SELECT query_id, chunk_id, score, rank FROM ({_TYPED}) WHERE search_type = 'hybrid-dates' AND rank <= 40", "dbm", "dvs", "dst", "dc")
+def hybrid_dates_topk(spark, d):
+    """The default search: words, vectors and dates."""
+    return retrieval.hybrid(*_dated_clauses(spark, d), Search())
+
+
+@query("search_all_types", f"SELECT * FROM ({_TYPED}) WHERE rank <= 40", "dbm", "dvs", "dst", "dc")
+def search_all_types(spark, d):
+    """Every search type over the same clauses."""
+    clauses = _dated_clauses(spark, d)
+    parts = [retrieval.hybrid(*clauses, Search(), kind).select(F.lit(kind).alias("search_type"), "query_id", "chunk_id", "score", "rank") for kind in retrieval.TYPES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _BAND = "SELECT query_id, chunk_id, score, rank, score >= 3.9 AS over_, count(*) FILTER (WHERE score >= 3.9) OVER (PARTITION BY query_id) AS n_over FROM hits"
 
 
@@ -612,7 +656,7 @@ def adaptive_hits_labelled(spark, d):
 
 
 def _results(spark, d):
-    c, t = chunks(spark, d), terms(spark, d)
+    c, t = searched(spark, d)
     hits, expected = _hits(spark, d, c, t), evaluate.expected_chunks(t, c)
     return c, t, hits, expected, evaluate.search_results(t, hits, c, expected)
 
@@ -627,6 +671,16 @@ def search_results(spark, d):
     return _results(spark, d)[-1]
 
 
+@query("search_loop_results", """SELECT row_number() OVER (ORDER BY query_id) AS index, query_id, search_term, acceptable_terms, CAST(query_id % 3 + 1 AS VARCHAR) AS expected_page_number, coalesce(expected_chunk_id, '') AS expected_chunk_id, CAST(query_id % 5 AS VARCHAR) AS manual_identifications, coalesce(all_chunk_ids, '') AS all_chunk_ids, coalesce(all_page_numbers, '') AS all_page_numbers, coalesce(all_term_frequencies, '') AS all_term_frequencies, coalesce(total_term_frequency, 0) AS total_term_frequency, coalesce(total_results, 0) AS total_results
+FROM st LEFT JOIN exs USING (query_id) LEFT JOIN (SELECT query_id, string_agg(chunk_id, ', ' ORDER BY rank) AS all_chunk_ids, string_agg(CAST(page_num AS VARCHAR), ', ' ORDER BY rank) AS all_page_numbers, string_agg(CAST(n AS VARCHAR), ', ' ORDER BY rank) AS all_term_frequencies, CAST(sum(n) AS BIGINT) AS total_term_frequency, count(*) AS total_results FROM tf JOIN (SELECT query_id, chunk_id, score FROM hits) USING (query_id, chunk_id) WHERE score >= 2.5 GROUP BY query_id) USING (query_id) WHERE trim(search_term) <> ''""", "st", "tf", "hits", "exs")
+def search_loop_results(spark, d):
+    """The result table, with hits under the score cut left out."""
+    c, t = searched(spark, d)
+    wanted = evaluate.expected_chunks(t, c).groupBy("query_id").agg(F.array_join(F.array_sort(F.collect_list("chunk_id")), ", ").alias("expected_chunk_id"))
+    asked = t.join(wanted, "query_id", "left").withColumn("expected_chunk_id", F.coalesce("expected_chunk_id", F.lit(""))).withColumn("expected_page_number", (F.col("query_id") % 3 + 1).cast("string")).withColumn("manual_identifications", (F.col("query_id") % 5).cast("string"))
+    return evaluate.search_table(asked, _hits(spark, d, c, t), c, 2.5)
+
+
 @query("query_term_freq", "SELECT query_id, total_term_frequency FROM sr", "sr")
 def query_term_freq(spark, d):
     return search_results(spark, d).select("query_id", "total_term_frequency")
@@ -639,7 +693,7 @@ def precision_recall(spark, d):
 
 @query("term_presence", "SELECT * FROM tp", "tp")
 def term_presence(spark, d):
-    c, t = chunks(spark, d), terms(spark, d)
+    c, t = searched(spark, d)
     return evaluate.presence(_hits(spark, d, c, t), c, t, ["exact"])
 
 
@@ -648,7 +702,7 @@ _OVERLAP = "named AS (SELECT DISTINCT lower(trim(search_term)) AS term, chunk_id
 
 @query("term_overlap_expected", f"SELECT * FROM (WITH {_OVERLAP} SELECT query_id, count(*) FILTER (WHERE own) AS chunks_with_search_term, count(*) FILTER (WHERE other) AS chunks_with_acceptable, count(*) FILTER (WHERE own OR other) AS chunks_with_any_term FROM (SELECT DISTINCT query_id, chunk_id FROM hits) LEFT JOIN met USING (query_id, chunk_id) GROUP BY query_id)", "ex", "st", "hits")
 def term_overlap_expected(spark, d):
-    c, t = chunks(spark, d), terms(spark, d)
+    c, t = searched(spark, d)
     return evaluate.overlap(_hits(spark, d, c, t), evaluate.expected_chunks(t, c), t)
 
 
@@ -669,7 +723,7 @@ def evaluation_log_row(spark, d):
 
 
 def _sweep_inputs(spark, d):
-    c, t = chunks(spark, d), terms(spark, d)
+    c, t = searched(spark, d)
     lexical, vector = _clauses(spark, d, c, t, 1 << 30)
     both = vector.select("query_id", "chunk_id", F.col("score").alias("neural")).join(lexical.withColumnRenamed("score", "lexical"), ["query_id", "chunk_id"], "left")
     return both.select("query_id", "chunk_id", F.coalesce("lexical", F.lit(0.0)).alias("lexical"), "neural"), evaluate.expected_chunks(t, c)
@@ -688,6 +742,40 @@ def boost_sweep(spark, d):
     return evaluate.sweep(*_sweep_inputs(spark, d), _grid(spark))
 
 
+BOOSTS = ["keyword", "analyser", "semantic", "wildcard", "fuzzy"]
+_FIVE = "grid AS (SELECT a*16 + b*8 + c_*4 + d*2 + e AS trial, a*2.5::DOUBLE AS keyword, b*2.5::DOUBLE AS analyser, c_*2.5::DOUBLE AS semantic, d*2.5::DOUBLE AS wildcard, e*2.5::DOUBLE AS fuzzy FROM range(2) q(a), range(2) w(b), range(2) r(c_), range(2) t(d), range(2) y(e))"
+_HAS = rf"list_has_any(list_filter(regexp_extract_all(TERM, '[\p{{L}}\p{{N}}_]+'), lambda x: x NOT IN {STOP}), regexp_extract_all(lower(chunk_text), '[\p{{L}}\p{{N}}_]+'))"
+_OBJECTIVE = f"""WITH {_FIVE}, flags AS (SELECT query_id, chunk_id, {_HAS.replace('TERM', 'lower(search_term)')} AS own, contains(lower(chunk_text), lower(search_term)) AS inside, len(list_filter(list_filter(list_transform(string_split(acceptable_terms, ','), lambda x: lower(trim(x))), lambda x: x <> '' AND x <> lower(trim(search_term))), lambda t: {_HAS.replace('TERM', 't')})) > 0 AS other FROM st JOIN c USING (case_ref)),
+all_clauses AS (SELECT query_id, chunk_id, own OR other AS has, CASE WHEN own THEN 1.0 ELSE 0.0 END AS k, lexical AS a, neural AS s, CASE WHEN inside THEN 1.0 ELSE 0.0 END AS w FROM flags JOIN cl USING (query_id, chunk_id)),
+ranked AS (SELECT trial, query_id, chunk_id, has, row_number() OVER (PARTITION BY trial, query_id ORDER BY score DESC, chunk_id) AS rank FROM (SELECT trial, query_id, chunk_id, has, round(k*keyword + a*analyser + s*semantic + w*wildcard, 5) AS score FROM all_clauses, grid) WHERE score > 0),
+per AS (SELECT trial, query_id, count(*) AS n, round_even(count(*) FILTER (WHERE has) / count(*) * 100, 2) AS share FROM ranked WHERE rank <= 40 GROUP BY ALL),
+trials AS (SELECT trial, sum(n) FILTER (WHERE share > 0) AS returned, avg(share) AS share FROM per GROUP BY trial)
+SELECT grid.trial, keyword, analyser, semantic, wildcard, fuzzy, CASE WHEN keyword + analyser + semantic + wildcard + fuzzy <= 0 THEN -1000.0 ELSE round_even(coalesce(returned, 0) / (SELECT count(*) FROM st) * pow(coalesce(trials.share, 0.0) / 100, 2), 4) END AS score FROM grid LEFT JOIN trials USING (trial)"""
+
+
+@query("boost_sweep_objective", f"SELECT * FROM ({_OBJECTIVE})", "st", "c", "cl")
+def boost_sweep_objective(spark, d):
+    """Five boosts by the optimisation score; the fuzzy clause, which SQL lacks, matches nothing here."""
+    c, t = searched(spark, d)
+    lexical, vector = _clauses(spark, d, c, t, 1 << 30)
+    term = F.lower(F.trim("search_term"))
+    others = F.filter(F.transform(text.listed(F.col("acceptable_terms")), lambda x: F.lower(x)), lambda x: x != term)
+    own, other = matching.exact(F.col("search_term"), F.col("chunk_text")), F.exists(others, lambda x: matching.exact(x, F.col("chunk_text")))
+    one = lambda c: F.when(c, 1.0).otherwise(0.0)
+    pairs = t.join(c, "case_ref").select("query_id", "chunk_id", (own | other).alias("has"), one(own).alias("keyword"), one(matching.wildcard(F.col("search_term"), F.col("chunk_text"))).alias("wildcard"), F.lit(0.0).alias("fuzzy"))
+    scored = pairs.join(vector.select("query_id", "chunk_id", F.col("score").alias("semantic")), ["query_id", "chunk_id"]).join(lexical.withColumnRenamed("score", "analyser"), ["query_id", "chunk_id"], "left").fillna(0.0, ["analyser"])
+    grid = spark.createDataFrame([(i, *[2.5 * (i >> b & 1) for b in (4, 3, 2, 1, 0)]) for i in range(32)], "trial long, " + ", ".join(f"{b} double" for b in BOOSTS))
+    return evaluate.objective(staged(scored), grid, BOOSTS, F.lit(t.count()))
+
+
+@query("embedded_search")
+def embedded_search(spark, d):
+    """Semantic search by vectors made of the texts themselves: each distinct term is embedded once."""
+    c, t = searched(spark, d)
+    vectors = retrieval.hashed_vectors(c).join(c.select("chunk_id", "case_ref"), "chunk_id")
+    return retrieval.knn(retrieval.embedded_terms(t), vectors, "case_ref", "chunk_id")
+
+
 @query("sweep_top_trials", f"SELECT trial, nullif(score, 0.0) AS value, lexical_boost, neural_boost FROM ({_SWEEP}) ORDER BY score DESC, trial LIMIT 5", "cl", "ex")
 def sweep_top_trials(spark, d):
     """The five best trials as they are saved, where a score of 0 becomes null."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.config import Search
@@ -78,6 +78,22 @@ def search_results(terms: DataFrame, hits: DataFrame, chunks: DataFrame, expecte
     return rows.select("query_id", "search_term", "acceptable_terms", *[F.coalesce(c, F.lit("")).alias(c) for c in ("all_chunk_ids", "all_page_numbers", "expected_chunk_id")], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_results", "total_term_frequency")])
 
 
+def search_table(terms: DataFrame, hits: DataFrame, chunks: DataFrame, least: float = Search().score_filter) -> DataFrame:
+    """The result table of a search: a numbered row per term that isn't blank, with what the hits of at least ``least`` hold.
+
+    terms: query_id, search_term, and the columns that are passed on: acceptable_terms, expected_page_number,
+    expected_chunk_id, manual_identifications.
+    """
+    asked = terms.filter(F.trim("search_term") != "")
+    found = hits.filter(F.col("score") >= least).join(chunks.select("chunk_id", "page_num", "chunk_text"), "chunk_id").join(asked.select("query_id", "search_term"), "query_id")
+    found = found.withColumn("n", text.occurrences(F.col("chunk_text"), F.col("search_term")))
+    joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col(c).cast("string").alias("v")))), lambda x: x["v"]), ", ")
+    per = found.groupBy("query_id").agg(joined("chunk_id").alias("all_chunk_ids"), joined("page_num").alias("all_page_numbers"), joined("n").alias("all_term_frequencies"), F.sum("n").alias("total_term_frequency"), F.count("*").alias("total_results"))
+    passed = ["query_id", "search_term", "acceptable_terms", "expected_page_number", "expected_chunk_id", "manual_identifications"]
+    rows = asked.select(*passed).join(per, "query_id", "left").withColumn("index", F.row_number().over(Window.orderBy("query_id")))  # one row per term
+    return rows.select("index", *passed, *[F.coalesce(c, F.lit("")).alias(c) for c in ("all_chunk_ids", "all_page_numbers", "all_term_frequencies")], *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_term_frequency", "total_results")])
+
+
 def relevance(results: DataFrame, present: DataFrame, manual: Column) -> DataFrame:
     rows = chunk_match(results).join(present, "query_id", "left").withColumn("manual_identifications", manual)
     total = F.col("total_results")
@@ -121,8 +137,6 @@ def sweep(clauses: DataFrame, expected: DataFrame, grid: DataFrame, k: int = 10)
     clauses: query_id, chunk_id, lexical, neural (each clause's own score, 0 without it); grid: trial, lexical_boost,
     neural_boost. The grid is a handful of rows beside the clauses. A weighting without any weight scores -1000.
     """
-    from pyspark.sql import Window
-
     weighted = clauses.crossJoin(F.broadcast(grid)).withColumn("score", F.round(F.col("lexical") * F.col("lexical_boost") + F.col("neural") * F.col("neural_boost"), 5))
     best = Window.partitionBy("trial", "query_id").orderBy(F.desc("score"), "chunk_id")
     top = weighted.filter("score > 0").withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
@@ -132,6 +146,30 @@ def sweep(clauses: DataFrame, expected: DataFrame, grid: DataFrame, k: int = 10)
     return grid.join(scored, "trial", "left").select("trial", "lexical_boost", "neural_boost", F.when(none, -1000.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"))
 
 
+#: What a weighting without any weight, or without any query, scores.
+PENALTY = -1000.0
+
+
+def objective(clauses: DataFrame, grid: DataFrame, boosts: list[str], n_queries: Column, k: int = 40, least: float = 0.0) -> DataFrame:
+    """The optimisation score of every weighting of the clauses, all in one plan.
+
+    clauses: query_id, chunk_id, has (whether the chunk holds the term or an acceptable one), and a column with each
+    clause's own score; grid: trial, and a weight under each clause's name. Of each trial and query the best ``k`` of at least
+    ``least`` count. The score is the mean number of hits of queries of which any has a term, over all queries, times the
+    square of the mean share of hits that have one.
+    """
+    weighted = clauses.crossJoin(F.broadcast(grid.select("trial", *[F.col(b).alias(f"w_{b}") for b in boosts])))  # a grid is a handful of rows
+    total = sum((F.col(b) * F.col(f"w_{b}") for b in boosts), F.lit(0.0))
+    scored = weighted.withColumn("score", F.round(total, 5)).filter((F.col("score") > 0) & (F.col("score") >= least))
+    best = Window.partitionBy("trial", "query_id").orderBy(F.desc("score"), "chunk_id")
+    top = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    per = top.groupBy("trial", "query_id").agg(F.count("*").alias("n"), percent(F.count_if("has"), F.count("*")).alias("share"))
+    trials = per.groupBy("trial").agg(F.sum(F.when(F.col("share") > 0, F.col("n"))).alias("returned"), F.avg("share").alias("share"))
+    weights = sum((F.col(b) for b in boosts), F.lit(0.0))
+    score = F.bround(F.coalesce(F.col("returned"), F.lit(0)) / n_queries * F.pow(F.coalesce("share", F.lit(0.0)) / 100, F.lit(2)), 4)
+    return grid.join(trials, "trial", "left").select("trial", *boosts, F.when((weights <= 0) | (n_queries <= 0), PENALTY).otherwise(score).alias("score"))
+
+
 def two_phase(spark: SparkSession, clauses: DataFrame, expected: DataFrame, high: float = 5.0, coarse: float = 1.25, fine: float = 0.25) -> DataFrame:
     """A coarse grid of weights, then a fine one around its best trial; every trial of both, with its score."""
     kind = "trial long, lexical_boost double, neural_boost double"
@@ -143,4 +181,4 @@ def two_phase(spark: SparkSession, clauses: DataFrame, expected: DataFrame, high
     return first.withColumn("phase", F.lit(1)).unionByName(second.withColumn("phase", F.lit(2)))
 
 
-__all__ = ["Search", "chunk_match", "overlap", "presence", "relevance", "summary", "sweep", "two_phase"]
+__all__ = ["Search", "chunk_match", "objective", "overlap", "presence", "relevance", "search_table", "summary", "sweep", "two_phase"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagewright.config import Search
 from pagewright.functions import dates, text
+from pagewright.sources.staging import staged
 
 TYPES = ("hybrid", "hybrid-dates", "keyword", "keyword-dates", "semantic")
 
@@ -14,9 +15,9 @@ TYPES = ("hybrid", "hybrid-dates", "keyword", "keyword-dates", "semantic")
 def bm25(chunks: DataFrame, terms: DataFrame, config: Search = Search()) -> DataFrame:
     """query_id, chunk_id, score of chunks in the query's case that hold any of its words.
 
-    Only postings of words that are asked for are shuffled; lengths and counts are over all chunks.
+    Tokens are made and written once. Only postings of words that are asked for are shuffled; lengths and counts are over all chunks.
     """
-    own = chunks.select("chunk_id", "case_ref", text.without(text.letters(F.col("chunk_text")), text.INDEX_STOP_WORDS).alias("tokens"))
+    own = staged(chunks.select("chunk_id", "case_ref", text.without(text.letters(F.col("chunk_text")), text.INDEX_STOP_WORDS).alias("tokens")))
     total = own.agg(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("average"))
     asked = terms.select("query_id", "case_ref", F.explode(text.without(text.letters(F.col("search_term")), text.INDEX_STOP_WORDS)).alias("token")).groupBy("query_id", "case_ref", "token").agg(F.count("*").alias("times"))
     each = own.select("chunk_id", "case_ref", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
@@ -108,3 +109,10 @@ def hashed_vectors(chunks: DataFrame, size: int = 64) -> DataFrame:
     byplace = parts.groupBy("chunk_id").agg(F.map_from_entries(F.collect_list(F.struct("at", "x"))).alias("m"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     vector = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (F.coalesce(F.try_element_at("m", i), F.lit(0.0)) / F.greatest("norm", F.lit(1e-9))).cast("float"))
     return byplace.select("chunk_id", vector.alias("embedding"))
+
+
+def embedded_terms(terms: DataFrame, size: int = 64) -> DataFrame:
+    """query_id, case_ref, vector: each distinct term is embedded once, and joined back to the queries that ask for it."""
+    once = terms.select("search_term").distinct()
+    vectors = hashed_vectors(once.select(F.col("search_term").alias("chunk_id"), F.col("search_term").alias("chunk_text")), size)
+    return terms.select("query_id", "case_ref", "search_term").join(vectors.select(F.col("chunk_id").alias("search_term"), F.col("embedding").alias("vector")), "search_term").drop("search_term")

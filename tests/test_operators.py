@@ -31,32 +31,53 @@ def settings(low, high, ahead=3, back=6, gap=0.05):
     return config.WordStream(low, high, gap, ahead, back)
 
 
-def test_word_stream_walk():
-    words = rows_of(["One two three. Four five six seven.".split()])
-    assert parts(words, segment.word_stream_walk(words, settings(3, 6))) == ["One two three.", "Four five six seven."]
-    words = rows_of(["a b c d. e f".split()])
-    assert parts(words, segment.word_stream_walk(words, settings(3, 6))) == ["a b c d.", "e f"]  # looks ahead
-    words = rows_of(["a b. c d e f g h".split()])
-    assert parts(words, segment.word_stream_walk(words, settings(3, 4, 1))) == ["a b.", "c d e f", "g h"]  # looks back
-    words = rows_of(["a b".split(), None, None, "c d. e".split()])
-    assert parts(words, segment.word_stream_walk(words, settings(3, 6))) == ["a b", "c d. e"]  # a gap
-    words = rows_of(["a b c".split(), None, None, "d. e".split()])
-    assert parts(words, segment.word_stream_walk(words, settings(3, 6))) == ["a b c", "d. e"]  # a gap while absorbing
-    assert segment.word_stream_walk([], settings(3, 6)) == []
-
-
-def test_fold_equals_the_walk(spark):
+WORDS = "n int, words array<struct<top:int,bottom:int,ends:boolean,text:string>>"
+
+
+def word_starts(spark, pages, made):
+    df = spark.createDataFrame([(n, [(w["top"], w["bottom"], w["ends"], w["text"]) for w in p]) for n, p in enumerate(pages)], WORDS)
+    got = {r.n: list(r.s) for r in df.select("n", segment.word_stream_starts(F.col("words"), made).alias("s")).collect()}
+    return [got[n] for n in range(len(pages))]
+
+
+def test_word_stream_cases(spark):
+    one = lambda spec, made: parts(spec, word_starts(spark, [spec], made)[0])
+    assert one(rows_of(["One two three. Four five six seven.".split()]), settings(3, 6)) == ["One two three.", "Four five six seven."]
+    assert one(rows_of(["a b c d. e f".split()]), settings(3, 6)) == ["a b c d.", "e f"]  # up to the next sentence end
+    assert one(rows_of(["a b. c d e f g h".split()]), settings(3, 4, 1)) == ["a b.", "c d e f", "g h"]  # cut back, then full
+    assert one(rows_of(["a b".split(), None, None, "c d. e".split()]), settings(3, 6)) == ["a b", "c d. e"]  # a gap
+    assert one(rows_of(["a b c".split(), None, None, "d. e".split()]), settings(3, 6)) == ["a b c", "d. e"]  # a gap before the end
+    assert word_starts(spark, [[]], settings(3, 6)) == [[]]
+
+
+def plain_starts(words, made):
+    """Chunk by chunk: the nearest of the gap, the sentence end and the full size decides."""
+    out, start, asked, n = [], 0, 0, len(words)
+    far = lambda i: words[i]["top"] - words[i - 1]["bottom"] > round(made.max_vertical_gap * 1000)
+    while start < n:
+        out.append(start)
+        gap = next((i for i in range(max(asked, start + 1), n) if far(i)), n)
+        end = next((i for i in range(max(asked, start + made.min_words - 1), n) if words[i]["ends"]), n)
+        full = start + made.max_words - 1
+        if gap <= min(end, full):
+            start = asked = gap
+        elif end <= full:
+            start = asked = end + 1
+        else:
+            back = [i for i in range(max(start, full - made.backward_words + 1), min(full, n)) if words[i]["ends"]] if full < n else []
+            start, asked = (back[-1] + 1 if back else full + 1), full + 1
+    return out
+
+
+def test_word_stream_equals_plain_search(spark):
     draw = random.Random(11)
     pages = []
-    for n in range(60):
+    for _ in range(60):
         spec = [[draw.choice(["a", "b", "c."]) if draw.random() < 0.3 else "w" for _ in range(12)] if draw.random() > 0.15 else None for _ in range(30)]
-        pages.append((n, rows_of(spec)))
-    kind = "n int, words array<struct<top:int,bottom:int,ends:boolean,text:string>>"
-    df = spark.createDataFrame([(n, [(w["top"], w["bottom"], w["ends"], w["text"]) for w in p]) for n, p in pages], kind)
-    made = config.WordStream()
-    got = {r.n: list(r.s) for r in df.select("n", segment.word_stream_starts(F.col("words"), made).alias("s")).collect()}
-    assert got == {n: segment.word_stream_walk(p, made) for n, p in pages}
-    assert not config.WordStream(8, 12, 0.05, 8, 10).closed_form and made.closed_form
+        pages.append(rows_of(spec))
+    for made in (config.WordStream(), config.WordStream(8, 12, 0.05, 8, 10), settings(3, 6), settings(4, 5, 2, 4), settings(2, 30, 0, 29)):
+        assert word_starts(spark, pages, made) == [plain_starts(p, made) for p in pages]
+    assert not config.WordStream(8, 12, 0.05, 8, 10).closed_form and config.WordStream().closed_form
 
 
 def test_general_settings_keep_every_word(spark):
@@ -69,13 +90,21 @@ def line(words, row, ends=False):
     return {"n_words": words, "top": 50 + 40 * row, "bottom": 82 + 40 * row, "ends": ends}
 
 
-def test_line_sentences():
-    walk = lambda rows, low=5, high=10: segment.line_sentence_walk(rows, config.LineSentence(low, high))
+def test_line_sentences(spark):
+    kind = "n int, rows array<struct<n_words:int,top:int,bottom:int,ends:boolean>>"
+
+    def walk(rows, low=5, high=10):
+        df = spark.createDataFrame([(0, [(r["n_words"], r["top"], r["bottom"], r["ends"]) for r in rows])], kind)
+        at = list(df.select(segment.line_sentence_starts(F.col("rows"), config.LineSentence(low, high)).alias("s")).first().s)
+        return [list(range(a, b)) for a, b in zip(at, [*at[1:], len(rows)], strict=False)]
+
     assert walk([line(3, 0), line(3, 1, True), line(3, 2)]) == [[0, 1], [2]]
-    assert walk([line(5, 0), line(3, 1, True), line(3, 2)]) == [[0, 1], [2]]  # looks ahead
-    assert walk([line(3, 0, True), line(4, 1), line(9, 2, True)]) == [[0], [1, 2]]  # splits back, then at the largest size
+    assert walk([line(5, 0), line(3, 1, True), line(3, 2)]) == [[0, 1], [2]]  # up to the next sentence end
+    assert walk([line(3, 0, True), line(4, 1), line(9, 2, True)]) == [[0], [1, 2]]  # cut back, then full
     assert walk([line(3, 0), line(3, 9), line(3, 10)]) == [[0], [1, 2]]  # a gap
     assert walk([line(3, 0), line(12, 9, True), line(3, 10)]) == [[0], [1, 2]]  # a line after a gap doesn't close
+    assert walk([line(5, 0), line(2, 20), line(1, 40, True), line(1, 41)]) == [[0, 1, 2], [3]]  # no gap within what is taken
+    assert walk([line(4, 0, True), line(1, 1), line(4, 2), line(9, 3)]) == [[0], [1, 2, 3]]
     assert walk([]) == []
 
 
