@@ -28,7 +28,10 @@ EDITS, FAR = 0.1, 19
 BLOCKS = 7
 #: Kinds of features: lengths of lines from and below which they are taken, the length from which all of them vote (half
 #: of them from twice that length, and so on), and features of a block, at least.
-KINDS = {"twos": (9, 34, None, 2), "fours": (31, 200, 25, 3), "words": (180, 2**31 - 1, 160, 3)}
+KINDS = {"few twos": (9, 34, None, 2), "twos": (31, 60, None, 3), "fours": (54, 200, 25, 3), "words": (180, 2**31 - 1, 160, 3)}
+#: Under so many different features, a longer line is of a kind of its own: all of them vote, every block counts, and as one
+#: more feature easily changes all blocks, they are dealt out anew so many times.
+DULL, DEALS = 12, 4
 #: Letters of a content word, at least; a line has few words if there is under one in so many characters.
 LETTERS, FEW_WORDS = 4, 16
 #: Sums that hold votes: each has seven counters of eight bits, for every eighth bit of a hash.
@@ -39,7 +42,7 @@ _NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
 #: Texts are moved in so many parts after each other, so that shuffle files of a part at most lie on disk.
 PARTS = 2
 #: Up to so many line numbers, 8 bytes each, are sent to every task; more are joined where they lie.
-FEW = 50_000
+FEW = 500_000
 
 
 def own_key() -> list[Column]:
@@ -67,7 +70,7 @@ def majority(sums: list[Column], n: Column) -> Column:
     """The bits that more than half of ``n`` hashes have, from sums of the counters. Counters of more than 255 votes run
     over, always alike."""
     lift = (F.lit(127) - F.shiftright(F.least(n, F.lit(255)), 1)).cast("long") * _COUNTERS  # so that a counter's top bit tells
-    bits = [F.shiftright(s + lift, 7).bitwiseAND(F.lit(_COUNTERS)) * (1 << i) for i, s in enumerate(sums)]
+    bits = [F.shiftright(F.coalesce(F.try_add(s, lift), F.lit(0).cast("long")), 7).bitwiseAND(F.lit(_COUNTERS)) * (1 << i) for i, s in enumerate(sums)]
     return reduce(lambda x, y: x.bitwiseOR(y), bits)
 
 
@@ -90,25 +93,30 @@ def fingerprints(lines: DataFrame) -> DataFrame:
     own = lines.select("node", "size", "norm", F.explode(_kinds(F.col("size"))).alias("kind")).select("node", "size", "norm", "kind.*")
     runs = {n: F.regexp_extract_all("norm", F.lit(f"(?s)(?=({'.' * n}))"), 1) for n in (2, 4)}
     n_words = F.col("size") - F.length(F.replace("norm", F.lit(" "))) + 1
-    features = F.when(F.col("tag") == 0, runs[2]).when((F.col("tag") == 1) | (n_words * FEW_WORDS < F.col("size")), runs[4]).otherwise(F.split("norm", " "))
+    features = F.when(F.col("tag") < 2, runs[2]).when((F.col("tag") == 2) | (n_words * FEW_WORDS < F.col("size")), runs[4]).otherwise(F.split("norm", " "))
+    own = own.select("node", "size", "tag", "level", F.array_distinct(features).alias("features"))
+    dull = (F.col("tag") > 1) & (F.size("features") < DULL)
+    levels = F.when(dull, F.sequence(F.lit(0), F.lit(DEALS - 1))).otherwise(F.array("level"))
+    own = own.select("node", "size", F.when(dull, len(KINDS)).otherwise(F.col("tag")).alias("tag"), F.explode(levels).alias("level"), "features")
     line = ["node", "size", "tag", "level"]
-    each = own.select(*line, F.explode(features).alias("feature")).filter((F.col("tag") < 2) | (F.length("feature") >= LETTERS)).select(*line, F.xxhash64("feature").alias("h"))
-    voting = each.filter(F.col("h").bitwiseAND(F.expr("shiftleft(1L, level) - 1")) == 0)
+    each = own.select(*line, F.explode("features").alias("feature")).filter((F.col("tag") != 3) | (F.length("feature") >= LETTERS)).select(*line, F.when(F.col("tag") == len(KINDS), F.xxhash64("feature", "level")).otherwise(F.xxhash64("feature")).alias("h"))
+    voting = each.filter((F.col("tag") == len(KINDS)) | (F.col("h").bitwiseAND(F.expr("shiftleft(1L, level) - 1")) == 0))
     zero = F.lit(0).cast("long")
     counted = [F.coalesce(F.try_sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_COUNTERS))), zero).alias(f"s{i}") for i in range(SUMS)]
     blocks = voting.groupBy(*line, F.pmod("h", F.lit(BLOCKS)).cast("int").alias("block")).agg(*counted, F.count("*").cast("int").alias("n"))
-    least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS.values()]), F.col("tag") + 1)
+    least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS.values()], F.lit(1)), F.col("tag") + 1)
     sums = [F.col(f"s{i}") for i in range(SUMS)]
     keyed = blocks.withColumn("key", F.when(F.col("n") >= least, F.xxhash64("tag", "level", "block", majority(sums, F.col("n")))))
     whole = [F.coalesce(F.try_sum(x), zero).alias(f"s{i}") for i, x in enumerate(sums)]
     voted = keyed.groupBy(*line).agg(*whole, F.sum("n").cast("int").alias("n"), *[F.max(F.when(F.col("block") == b, F.col("key"))).alias(f"key_{b}") for b in range(BLOCKS)])
-    return voted.select("node", "size", majority(sums, F.col("n")).alias("sim"), F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
+    sim = F.when(F.col("tag") == len(KINDS), zero).otherwise(majority(sums, F.col("n")))  # that of a few features tells nothing
+    return voted.select("node", "size", sim.alias("sim"), F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
 
 
 def _may(one: Column, two: Column) -> Column:
     """Lengths allow a link, and SimHashes are near."""
     a, b = one["size"], two["size"]
-    return (F.abs(a - b) <= F.floor(F.greatest(a, b) * EDITS)) & (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR)
+    return (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR) & (F.abs(a - b) <= F.floor(F.greatest(a, b) * EDITS))
 
 
 def _shared(x: Column, y: Column) -> Column:
@@ -124,25 +132,26 @@ def _let(value: Column, use) -> Column:
 
 
 def _alike(x: Column, y: Column) -> Column:
-    """At most a tenth of the longer line is edited. What both start and end with is cut off, and few edits are tried first,
-    as the time goes with the square of what is left, and with the edits allowed."""
-    most = F.floor(F.greatest(F.length(x), F.length(y)) * EDITS).cast("int")
-
-    def within(z: Column) -> Column:
-        tried = lambda n: F.call_function("levenshtein", z["x"], z["y"], F.least(z["most"], F.lit(n))) >= 0
-        return tried(6) | ((z["most"] > 6) & (tried(40) | ((z["most"] > 40) & tried(2**30))))
+    """At most a tenth of the longer line is edited.
 
-    cut = lambda z, at: F.struct(F.reverse(F.substring(z["x"], at + 1, F.length(z["x"]))).alias("x"), F.reverse(F.substring(z["y"], at + 1, F.length(z["y"]))).alias("y"), z["most"].alias("most"))
-    whole = F.struct(x.alias("x"), y.alias("y"), most.alias("most"))
-    stripped = lambda z: _let(_let(_shared(z["x"], z["y"]), lambda at: cut(z, at)), lambda r: _let(_let(_shared(r["x"], r["y"]), lambda at: cut(r, at)), within))
-    return F.when(F.abs(F.length(x) - F.length(y)) <= most, _let(whole, stripped)).otherwise(False)
+    Edits word by word are never fewer than the least edits, so lines of as many words are alike for sure if those are few
+    enough. Else the least edits are counted of what is left when the common ends are cut off, as time goes with its square.
+    """
+    most = F.floor(F.greatest(F.length(x), F.length(y)) * EDITS).cast("int")
+    one, two = F.split(x, " "), F.split(y, " ")
+    by_word = F.aggregate(F.zip_with(one, two, lambda a, b: F.when(a == b, 0).otherwise(F.levenshtein(a, b))), F.lit(0), lambda n, d: n + d)
+    cut = lambda z, at: F.struct(F.reverse(F.substring(z["x"], at + 1, F.length(z["x"]))).alias("x"), F.reverse(F.substring(z["y"], at + 1, F.length(z["y"]))).alias("y"))
+    ended = lambda z: _let(_shared(z["x"], z["y"]), lambda at: cut(z, at))
+    least = _let(ended(F.struct(x.alias("x"), y.alias("y"))), lambda r: _let(ended(r), lambda z: F.call_function("levenshtein", z["x"], z["y"], most) >= 0))
+    near = F.when((F.size(one) == F.size(two)) & (by_word <= most), True).otherwise(least)
+    return F.when(F.abs(F.length(x) - F.length(y)) <= most, near).otherwise(False)
 
 
 def _alike_in_blocks(blocks: DataFrame) -> DataFrame:
     """(a, b) of each outsider and, of every other group in its block, one line that is alike."""
 
     def met(one: Column) -> Column:
-        near = F.filter("members", lambda two: (two["root"] != one["root"]) & _may(one["trait"], two["trait"]) & _alike(one["load"], two["load"]))
+        near = F.filter("members", lambda two: _may(one["trait"], two["trait"]) & (two["root"] != one["root"]) & _alike(one["load"], two["load"]))
         return F.transform(near, lambda two: F.struct(two["root"].alias("root"), one["node"].alias("a"), two["node"].alias("b")))
 
     found = blocks.select(F.explode(F.flatten(F.transform("outsiders", met))).alias("pair"))

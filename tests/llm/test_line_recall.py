@@ -1,10 +1,18 @@
 """Alike lines must meet by edits alone: pairs with edited words and letters, at every length."""
 
+import os
 import random
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
 
 from pagewright.llm import line_dedup
 
 from . import cases
+from .test_groups import grouped, norm
 
 
 def edited(draw, words, times):
@@ -31,3 +39,43 @@ def test_short_lines_go_too(spark):
     texts = ["page two\none\n\nan own line", "page two\none\n\n", "Page  two\n" + "x" * 500 + "\nreferences.", "x" * 499 + "y\nreferences"]
     got = [r.text for r in line_dedup.dedup(cases.documents(spark, texts)).orderBy("doc_id").collect()]
     assert got == ["page two\none\n\nan own line", "\n", "x" * 500 + "\nreferences.", ""]
+
+
+def linked_lines(kinds):
+    """All pairs within a tenth of edits: letters and pairs of letters leave few candidates, edit distances decide."""
+    kinds = sorted(kinds, key=len)
+    sizes = np.array([len(x) for x in kinds])
+    bags = np.zeros((len(kinds), 512), np.int16)
+    for i, x in enumerate(kinds):
+        for c in x:
+            bags[i, ord(c) % 64] += 1
+        for two in zip(x, x[1:], strict=False):
+            bags[i, 64 + zlib.crc32("".join(two).encode()) % 448] += 1
+    pairs = []
+    for i in range(len(kinds)):
+        others = np.arange(i + 1, np.searchsorted(sizes, sizes[i] * 10 // 9 + 2, "right"))
+        most = sizes[others] // 10
+        off = np.abs(bags[others].astype(np.int32) - bags[i])
+        near = (sizes[others] - sizes[i] <= most) & (off[:, :64].sum(1) <= 2 * most) & (off[:, 64:].sum(1) <= 4 * most)
+        pairs += [(kinds[i], kinds[j]) for j in others[near]]
+    code = {c: chr(33 + n) for n, c in enumerate(sorted({c for x in kinds for c in x}))}  # a byte a letter, as DuckDB counts bytes
+    assert len(code) < 94
+    plain = lambda x: "".join(code[c] for c in x)
+    found = pa.table({"n": list(range(len(pairs))), "a": [plain(a) for a, _ in pairs], "b": [plain(b) for _, b in pairs]})  # noqa: F841
+    good = duckdb.sql("SELECT n FROM found WHERE levenshtein(a, b) <= greatest(length(a), length(b)) // 10").fetchall()
+    return [pairs[n] for (n,) in good]
+
+
+def test_recall_on_the_driver_s_documents(spark):
+    at = "/root/testdata/sf0.001/documents.parquet"
+    if not os.path.exists(at):
+        pytest.skip("no test data")
+    docs = spark.read.parquet(at)
+    places = [(r.doc_id, n, norm(line)) for r in docs.select("doc_id", "text").collect() for n, line in enumerate((r.text or "").split("\n")) if norm(line)]
+    root = grouped(sorted({x for _, _, x in places}), linked_lines({x for _, _, x in places}))
+    first = {}
+    for d, n, x in sorted(places):
+        first.setdefault(root[x], (d, n))
+    want = {(d, n) for d, n, x in places if first[root[x]] != (d, n)}
+    got = {(r.doc_id, n) for r in line_dedup.decide(docs).collect() for n in r.dropped}
+    assert len(want - got) <= 0.02 * len(want) and len(got - want) <= 0.02 * len(want)
