@@ -18,6 +18,14 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 6 << 20
 
 
+def release() -> None:
+    """Gives memory that Python has freed back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, giving back what its task has freed, as Spark keeps the worker for later stages."""
 
@@ -25,10 +33,7 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            release()
 
     return wrapped
 
@@ -62,7 +67,7 @@ class Kept:
         self.n += 1
         path = f"{self.at}/{self.n}"
         df.write.parquet(path, compression=compression)
-        gc.collect()  # so that shuffle files go that nothing reads any more
+        release()  # so that shuffle files go that nothing reads any more
         self.spark._jvm.System.gc()
         out = self.spark.read.schema(df.schema).parquet(path)
         self.made[id(out)] = out, path

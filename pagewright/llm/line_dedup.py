@@ -32,6 +32,8 @@ KINDS = {"few twos": (9, 34, None, 2), "twos": (31, 60, None, 3), "fours": (54,
 #: Under so many different features, a longer line is of a kind of its own: all of them vote, every block counts, and as one
 #: more feature easily changes all blocks, they are dealt out anew so many times.
 DULL, DEALS = 12, 4
+#: Dull lines from this length on link by equality alone: each pair of them would take time with the square of the length.
+DULL_SIZE = 1000
 #: Letters of a content word, at least; a line has few words if there is under one in so many characters.
 LETTERS, FEW_WORDS = 4, 16
 #: Sums that hold votes: each has seven counters of eight bits, for every eighth bit of a hash.
@@ -39,6 +41,8 @@ SUMS = 8
 _COUNTERS = sum(1 << 8 * i for i in range(7))
 #: All but letters, marks, digits and line breaks; a line without any letter stands as it is.
 _NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
+#: Unsettled lines of a key that are paired by a join; more are compared block by block.
+CROWD = 32
 #: Texts are moved in so many parts after each other, so that shuffle files of a part at most lie on disk.
 PARTS = 2
 #: Up to so many line numbers, 8 bytes each, are sent to every task; more are joined where they lie.
@@ -95,7 +99,7 @@ def fingerprints(lines: DataFrame) -> DataFrame:
     n_words = F.col("size") - F.length(F.replace("norm", F.lit(" "))) + 1
     features = F.when(F.col("tag") < 2, runs[2]).when((F.col("tag") == 2) | (n_words * FEW_WORDS < F.col("size")), runs[4]).otherwise(F.split("norm", " "))
     own = own.select("node", "size", "tag", "level", F.array_distinct(features).alias("features"))
-    dull = (F.col("tag") > 1) & (F.size("features") < DULL)
+    dull = (F.col("tag") > 1) & (F.size("features") < DULL) & (F.col("size") < DULL_SIZE)
     levels = F.when(dull, F.sequence(F.lit(0), F.lit(DEALS - 1))).otherwise(F.array("level"))
     own = own.select("node", "size", F.when(dull, len(KINDS)).otherwise(F.col("tag")).alias("tag"), F.explode(levels).alias("level"), "features")
     line = ["node", "size", "tag", "level"]
@@ -181,7 +185,7 @@ def decide(docs: DataFrame) -> DataFrame:
         two = pairs.join(texts.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
         return two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
 
-    roots = resolve(kept, keyed, _may, links, texts_of, _alike_in_blocks)
+    roots = resolve(kept, keyed, _may, links, texts_of, _alike_in_blocks, CROWD)
     rooted = kinds.join(roots, "node", "left").select("h1", "h2", "first", "many", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), (F.bool_or("many") | (F.count("*") > 1)).alias("many")).filter("many").select("root", "stay")
     many = kept.write(rooted.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stay"))
@@ -196,7 +200,7 @@ def dedup(docs: DataFrame) -> DataFrame:
 
     Of each connected group of alike lines the one stays that comes first by doc_id (null last), then text hash and
     line number; blank lines all stay. Lines of any length take part, and a very long text or line is read whole; a
-    text without line breaks is one line. A null or empty text stays as it is. Rows that repeat both doc_id and text
+    text without line breaks is one line; only lines of ``DULL_SIZE`` characters with hardly any different features link by equality alone. A null or empty text stays as it is. Rows that repeat both doc_id and text
     are one document, and each of them keeps what it keeps. An empty table gives no rows. Other columns pass through,
     whatever their names; only one named ``dropped`` is replaced.
     """

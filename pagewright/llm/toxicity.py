@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import documents_only, released, rows_where, table, text_slices
+from pagewright.llm.base import documents_only, release, released, rows_where, table, text_slices
 
 #: Longest reach of a triple, the weight of each letter skipped, and the machine's size.
 REACH, DECAY, LANDMARKS = 6, 0.6, 128
@@ -305,7 +305,11 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model | None:
     toxic = np.array([r["toxic"] for r in got], np.int64)
     total = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     weight = np.array([max(1.0, total[t] / max(1, int((toxic == t).sum()))) for t in toxic.tolist()])
-    return fit(words, toxic, weight)
+    del got, one
+    model = fit(words, toxic, weight)
+    del words
+    release()  # the driver keeps nothing of the training rows
+    return model
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

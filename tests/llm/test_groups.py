@@ -208,7 +208,7 @@ def test_votes_are_majorities(spark):
 
 
 def test_crowded_lines_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(links, "CROWD", 4)
+    monkeypatch.setattr(line_dedup, "CROWD", 4)
     monkeypatch.setattr(links, "BLOCK", 8)
     monkeypatch.setattr(links, "CHECKED", 1)
     draw = random.Random(6)
