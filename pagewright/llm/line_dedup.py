@@ -39,6 +39,9 @@ LETTERS, FEW_WORDS = 4, 16
 #: Sums that hold votes: each has seven counters of eight bits, for every eighth bit of a hash.
 SUMS = 8
 _COUNTERS = sum(1 << 8 * i for i in range(7))
+#: Bits for the runs of two letters that a line has. An edit takes at most two of them away, so that a line may lack at most
+#: twice as many of the other's bits as characters may be edited. Longer lines hold most bits, and have none set.
+BITS = 128
 #: All but letters, marks, digits and line breaks; a line without any letter stands as it is.
 _NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
 #: Unsettled lines of a key that are paired by a join; more are compared block by block.
@@ -92,8 +95,9 @@ def _kinds(size: Column) -> Column:
 
 
 def fingerprints(lines: DataFrame) -> DataFrame:
-    """node, sim, keys of lines (node, size, norm): for each of a line's kinds and levels its SimHash, and a key for each
-    block with enough features, as others would tell nothing. Votes are sums, made where the lines lie if node deals them out."""
+    """node, sim, low, high, keys of lines (node, size, norm): for each of a line's kinds and levels its SimHash, the bits of
+    its runs of two letters if they are its features, and a key for each block with enough features, as others would tell
+    nothing. Votes are sums, made where the lines lie if node deals them out."""
     own = lines.select("node", "size", "norm", F.explode(_kinds(F.col("size"))).alias("kind")).select("node", "size", "norm", "kind.*")
     runs = {n: F.regexp_extract_all("norm", F.lit(f"(?s)(?=({'.' * n}))"), 1) for n in (2, 4)}
     n_words = F.col("size") - F.length(F.replace("norm", F.lit(" "))) + 1
@@ -107,20 +111,24 @@ def fingerprints(lines: DataFrame) -> DataFrame:
     voting = each.filter((F.col("tag") == len(KINDS)) | (F.col("h").bitwiseAND(F.expr("shiftleft(1L, level) - 1")) == 0))
     zero = F.lit(0).cast("long")
     counted = [F.coalesce(F.try_sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_COUNTERS))), zero).alias(f"s{i}") for i in range(SUMS)]
-    blocks = voting.groupBy(*line, F.pmod("h", F.lit(BLOCKS)).cast("int").alias("block")).agg(*counted, F.count("*").cast("int").alias("n"))
+    place = F.shiftright("h", 56).bitwiseAND(F.lit(BITS - 1)).cast("int")
+    bit = lambda first: F.bit_or(F.when((F.col("tag") < 2) & (place >= first) & (place < first + 64), F.expr("1L << cast(shiftright(h, 56) & 63 AS int)")).otherwise(zero))
+    blocks = voting.groupBy(*line, F.pmod("h", F.lit(BLOCKS)).cast("int").alias("block")).agg(*counted, bit(0).alias("low"), bit(64).alias("high"), F.count("*").cast("int").alias("n"))
     least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS.values()], F.lit(1)), F.col("tag") + 1)
     sums = [F.col(f"s{i}") for i in range(SUMS)]
     keyed = blocks.withColumn("key", F.when(F.col("n") >= least, F.xxhash64("tag", "level", "block", majority(sums, F.col("n")))))
     whole = [F.coalesce(F.try_sum(x), zero).alias(f"s{i}") for i, x in enumerate(sums)]
-    voted = keyed.groupBy(*line).agg(*whole, F.sum("n").cast("int").alias("n"), *[F.max(F.when(F.col("block") == b, F.col("key"))).alias(f"key_{b}") for b in range(BLOCKS)])
+    voted = keyed.groupBy(*line).agg(*whole, F.bit_or("low").alias("low"), F.bit_or("high").alias("high"), F.sum("n").cast("int").alias("n"), *[F.max(F.when(F.col("block") == b, F.col("key"))).alias(f"key_{b}") for b in range(BLOCKS)])
     sim = F.when(F.col("tag") == len(KINDS), zero).otherwise(majority(sums, F.col("n")))  # that of a few features tells nothing
-    return voted.select("node", "size", sim.alias("sim"), F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
+    return voted.select("node", "size", sim.alias("sim"), "low", "high", F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
 
 
 def _may(one: Column, two: Column) -> Column:
-    """Lengths allow a link, and SimHashes are near."""
+    """Lengths and runs of two letters allow a link, and SimHashes are near."""
     a, b = one["size"], two["size"]
-    return (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR) & (F.abs(a - b) <= F.floor(F.greatest(a, b) * EDITS))
+    most = F.floor(F.greatest(a, b) * EDITS)
+    lacks = lambda x, y: sum(F.bit_count(x[w].bitwiseAND(F.bitwise_not(y[w]))) for w in ("low", "high")) <= 2 * most
+    return (F.abs(a - b) <= most) & (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR) & lacks(one, two) & lacks(two, one)
 
 
 def _shared(x: Column, y: Column) -> Column:
@@ -158,7 +166,9 @@ def _alike_in_blocks(blocks: DataFrame) -> DataFrame:
         near = F.filter("members", lambda two: _may(one["trait"], two["trait"]) & (two["root"] != one["root"]) & _alike(one["load"], two["load"]))
         return F.transform(near, lambda two: F.struct(two["root"].alias("root"), one["node"].alias("a"), two["node"].alias("b")))
 
-    found = blocks.select(F.explode(F.flatten(F.transform("outsiders", met))).alias("pair"))
+    # blocks are few bytes and much work, so they are dealt out by their number
+    dealt = blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = dealt.select(F.explode(F.flatten(F.transform("outsiders", met))).alias("pair"))
     return found.groupBy("pair.a", "pair.root").agg(F.min("pair.b").alias("b")).select("a", "b")
 
 
@@ -173,7 +183,7 @@ def decide(docs: DataFrame) -> DataFrame:
     for i in range(PARTS):
         texts, own = (df.filter(F.pmod(F.xxhash64("node"), F.lit(PARTS)) == i) for df in (lines.select("node", "size", "norm"), kinds.select("node")))
         parts.append(kept.write(fingerprints(texts.repartition("node").join(own.hint("shuffle_hash"), "node", "left_semi"))))
-    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim").alias("trait"))
+    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim", "low", "high").alias("trait"))
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         wanted = F.broadcast(nodes) if nodes.limit(FEW + 1).count() <= FEW else nodes

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pagewright.llm import line_dedup
 
@@ -41,6 +42,30 @@ def test_short_lines_go_too(spark):
     assert got == ["page two\none\n\nan own line", "\n", "x" * 500 + "\nreferences.", ""]
 
 
+def test_runs_of_letters_part_short_lines_but_no_edited_ones(spark):
+    """Lines of few syllables have near SimHashes; their texts needn't be compared for that."""
+    draw = random.Random(5)
+    syllables = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic".split()
+    lines = ["".join(draw.choice(syllables) + draw.choice(["", "", " "]) for _ in range(21)).strip() for _ in range(300)]
+    changed = []
+    for line in lines:
+        x = list(line)
+        for at in draw.sample(range(len(x)), len(x) // 10):
+            x[at] = draw.choice(["", "q", x[at] + "z", " "])
+        changed.append("".join(x))
+    rows = [(n, len(x), x) for n, x in enumerate(lines + changed) if len(x) < 54]
+    traits = line_dedup.fingerprints(spark.createDataFrame(rows, "node long, size int, norm string")).select("node", F.struct("size", "sim", "low", "high").alias("trait"))
+    one, two = (traits.select(F.col("node").alias(n), F.col("trait").alias(f"trait_{n}")) for n in "ab")
+    pairs = one.crossJoin(two).withColumn("may", line_dedup._may(F.col("trait_a"), F.col("trait_b")))
+    far = pairs.filter(f"a < b AND b < {len(lines)}").agg(F.count("*"), F.count_if("may")).first()
+    assert far[1] < 0.03 * far[0]
+    text, half = {n: x for n, _, x in rows}, (1 << 64) - 1
+    for r in pairs.filter(f"b = a + {len(lines)}").collect():
+        most = max(len(text[r.a]), len(text[r.b])) // 10
+        x, y = (r[t].low & half | (r[t].high & half) << 64 for t in ("trait_a", "trait_b"))
+        assert x and y and max((x & ~y).bit_count(), (y & ~x).bit_count()) <= 2 * most
+
+
 def linked_lines(kinds):
     """All pairs within a tenth of edits: letters and pairs of letters leave few candidates, edit distances decide."""
     kinds = sorted(kinds, key=len)
