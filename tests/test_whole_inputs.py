@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pagewright.plans import catalog
+from pagewright.plans import catalog, retrieval
 
 DATA = "/root/testdata/sf0.001"
 
@@ -24,3 +24,16 @@ def test_every_vector_is_a_query(spark):
 def test_every_order_asks_for_its_date(spark):
     found = catalog.date_clause_all(spark, DATA)
     assert found.filter("query_id = doc_id").count() == catalog.read(spark, DATA, "orders").count()
+
+
+def test_no_dates_are_sent_to_every_task(spark):
+    """Before dates are written out the planner sees few bytes, so that it would broadcast many rows."""
+    plan = catalog.date_clause_all(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_texts_that_repeat_in_a_case_are_read_once_and_all_found(spark):
+    terms = spark.createDataFrame([(1, 0, "seen 2 March 2020"), (2, 0, "seen 2 March 2020"), (3, 1, "on 02/03/2020 and 5 May 2021"), (4, 1, "no date")], "query_id long, case_ref long, search_term string")
+    chunks = spark.createDataFrame([(10, 0, "Paid 2 Mar 2020."), (11, 0, "Paid 2 Mar 2020."), (12, 1, "Paid 2 Mar 2020."), (13, 1, "both 5-May-2021, 2020-03-02"), (14, 1, None), (15, 0, "2 Mar 2021")], "chunk_id long, case_ref long, chunk_text string")
+    found = [tuple(r) for r in retrieval.date_clause(chunks, terms).collect()]
+    assert sorted(found) == [(1, 10), (1, 11), (2, 10), (2, 11), (3, 12), (3, 13)]
