@@ -1,5 +1,7 @@
 """Every matching method counts, alone and beside others."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,3 +23,27 @@ def test_stemmed_and_fuzzy_count(spark):
     assert {r.query_id: r.chunks_with_acceptable for r in evaluate.presence(pairs, chunks, terms, ["fuzzy"]).collect()}[1] >= 1
     with pytest.raises(ValueError):
         matching.any_method(F.lit("a"), F.lit("b"), ["stemmed"])
+
+
+def test_fuzzy_over_many_pairs_equals_pair_by_pair():
+    draw = random.Random(3)
+    words = ["assessment", "assesment", "injury", "injuries", "of", "the", "straße", "naïve\U0001f600", "committee", "comittee", "a", "x"]
+    words += ["".join(draw.choice("abcde") for _ in range(draw.randrange(1, 9))) for _ in range(20)]
+    match, found = matching.Fuzzy(), 0
+    match.PART = 7
+    for n in range(1500):
+        body = " ".join(draw.choices(words, k=draw.randrange(0, 14))).upper()
+        term = " ".join(draw.choices(words, k=draw.randrange(0, 4))) if n % 3 else body[3:20].replace("E", "q", 1)
+        want = matching.fuzzy_match(term, body)
+        assert match(term, body) == want, (term, body)
+        found += want
+    assert 100 < found < 1400
+
+
+def test_fuzzy_compares_only_stretches_with_enough_letters(monkeypatch):
+    calls = []
+    plain = matching.ratio
+    monkeypatch.setattr(matching, "ratio", lambda a, b: calls.append(1) or plain(a, b))
+    match = matching.Fuzzy()
+    assert not any(match("liability statement", f"nothing here says who has to pay for {i} broken wheels " * 20) for i in range(50))
+    assert len(calls) < 500
