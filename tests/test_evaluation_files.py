@@ -53,6 +53,23 @@ def test_objective(spark):
     assert got == {0: evaluate.PENALTY, 1: 2 / 4 * 0.25, 2: 0.0, 3: 0.0312}
 
 
+def test_objective_sorts_a_trial_at_a_time(spark):
+    """No row is multiplied by the grid before the best of a trial are known."""
+    kind = "query_id long, chunk_id string, has boolean, a double, b double"
+    clauses = spark.createDataFrame([(q, f"{n:03}", n % 3 == 0, n / 100, (n * 7 % 50) / 50) for q in range(3) for n in range(60)] + [(9, "null", True, None, 1.0)], kind)
+    grid = spark.createDataFrame([(0, 0.0, 0.0), (1, 1.0, 0.0), (2, 0.0, 1.0), (3, 1.0, 1.0)], "trial long, a double, b double")
+    found = evaluate.objective(clauses, grid, ["a", "b"], F.lit(4), k=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    want = {0: evaluate.PENALTY}
+    for trial, a, b in [(1, 1.0, 0.0), (2, 0.0, 1.0), (3, 1.0, 1.0)]:
+        best = sorted(((-round(n / 100 * a + (n * 7 % 50) / 50 * b, 5), f"{n:03}", n % 3 == 0) for n in range(60)))[:5]
+        share = sum(h for _, _, h in best) / 5
+        want[trial] = round((15 if share else 0) / 4 * share**2, 4)
+    assert {r.trial: r.score for r in found.collect()} == want
+    assert evaluate.objective(clauses, grid.limit(0), ["a", "b"], F.lit(4)).count() == 0
+
+
 def test_terms_are_embedded_once(spark):
     terms = spark.createDataFrame([(1, "c", "some words"), (2, "c", "some words"), (3, "c", "other")], "query_id long, case_ref string, search_term string")
     got = {r.query_id: list(r.vector) for r in retrieval.embedded_terms(terms).collect()}
