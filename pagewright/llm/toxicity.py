@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import documents_only, release, released, rows_where, table, text_slices
+from pagewright.llm.base import documents_only, released, rows_where, table, text_slices
 
 #: Longest reach of a triple, the weight of each letter skipped, and the machine's size.
 REACH, DECAY, LANDMARKS = 6, 0.6, 128
@@ -298,18 +298,23 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model | None:
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = documents_only(docs).filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")  # at most 2 x rows ids
     own = texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    got = own.mapInArrow(released(_words), "doc_id long, toxic int, words array<string>").collect()
-    got.sort(key=lambda r: r["doc_id"])
-    one: dict[str, str] = {}  # of each word, one string for all documents
-    words = [[one.setdefault(w, w) for w in r["words"]] for r in got]
-    toxic = np.array([r["toxic"] for r in got], np.int64)
     total = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    weight = np.array([max(1.0, total[t] / max(1, int((toxic == t).sum()))) for t in toxic.tolist()])
-    del got, one
-    model = fit(words, toxic, weight)
-    del words
-    release()  # the driver keeps nothing of the training rows
-    return model
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one: dict[str, str] = {}  # of each word, one string for all documents
+        rows = [(d, t, [one.setdefault(w, w) for w in ws]) for batch in batches for d, t, ws in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "toxic", "words")), strict=True)]
+        rows.sort(key=lambda r: r[0])
+        toxic = np.array([t for _, t, _ in rows], np.int64)
+        weight = np.array([max(1.0, total[t] / max(1, int((toxic == t).sum()))) for t in toxic.tolist()])
+        model = fit([ws for _, _, ws in rows], toxic, weight)
+        if model is not None:
+            made = [pa.array([model.weights], pa.list_(pa.float32())), pa.array([float(model.bias)]), pa.array([model.final], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(made, names=["weights", "bias", "final"])
+
+    # one task has the training rows, which are bounded; the driver gets the machine alone
+    words = own.mapInArrow(released(_words), "doc_id long, toxic int, words array<string>").repartition(1)
+    made = words.mapInArrow(released(fitted), "weights array<float>, bias double, final array<double>").first()
+    return made and Model(np.array(made["weights"], np.float32), made["bias"], np.array(made["final"]))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -235,3 +235,10 @@ def test_gaps_weigh_less_and_order_counts():
     assert near > turned > other - 1e-9 and near > 0.3
     direct = toxicity.against(["idiot", "table"], axes[1].astype(np.float64))[:, 0]
     assert np.allclose(direct, [axes[0] @ axes[1], axes[3] @ axes[1]], atol=1e-5)
+
+
+def test_toxicity_trains_in_a_task(spark, monkeypatch):
+    """The driver's memory holds no training rows: it only gets the machine."""
+    docs, labels = labelled(spark)
+    monkeypatch.setattr(toxicity, "learn", None)
+    assert toxicity.train(docs, labels) is not None
