@@ -162,14 +162,15 @@ def _alike(x: Column, y: Column) -> Column:
 def _alike_in_blocks(blocks: DataFrame) -> DataFrame:
     """(a, b) of each outsider and, of every other group in its block, one line that is alike."""
 
-    def met(one: Column) -> Column:
-        near = F.filter("members", lambda two: _may(one["trait"], two["trait"]) & (two["root"] != one["root"]) & _alike(one["load"], two["load"]))
-        return F.transform(near, lambda two: F.struct(two["root"].alias("root"), one["node"].alias("a"), two["node"].alias("b")))
-
     # blocks are few bytes and much work, so they are dealt out by their number
     dealt = blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = dealt.select(F.explode(F.flatten(F.transform("outsiders", met))).alias("pair"))
-    return found.groupBy("pair.a", "pair.root").agg(F.min("pair.b").alias("b")).select("a", "b")
+    # pairs are rows inside one compiled stage, as lambdas over arrays are interpreted for each pair
+    pairs = dealt.select("members", F.explode("outsiders").alias("one")).select("one", F.explode("members").alias("two"))
+    near = pairs.filter((F.col("two.root") != F.col("one.root")) & _may(F.col("one.trait"), F.col("two.trait")))
+    # a number of each row's own keeps this filter from joining the one before, which it would take out of the compiled stage
+    numbered = near.select(F.col("one.node").alias("a"), F.col("two.root").alias("root"), F.col("two.node").alias("b"), F.col("one.load").alias("x"), F.col("two.load").alias("y"), F.monotonically_increasing_id().alias("n"))
+    found = numbered.filter(_alike(F.col("x"), F.col("y")) & (F.col("n") >= 0))
+    return found.groupBy("a", "root").agg(F.min("b").alias("b")).select("a", "b")
 
 
 def decide(docs: DataFrame) -> DataFrame:

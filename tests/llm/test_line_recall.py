@@ -104,3 +104,23 @@ def test_recall_on_the_driver_s_documents(spark):
     want = {(d, n) for d, n, x in places if first[root[x]] != (d, n)}
     got = {(r.doc_id, n) for r in line_dedup.decide(docs).collect() for n in r.dropped}
     assert len(want - got) <= 0.02 * len(want) and len(got - want) <= 0.02 * len(want)
+
+
+def test_pairs_of_blocks_meet_as_rows_and_keep_their_links(spark):
+    """A lambda over arrays is interpreted for each pair; rows meet inside one compiled stage."""
+    draw = random.Random(5)
+    whole = ["".join(draw.choice("abcdefgh ") for _ in range(40)).strip() for _ in range(12)]
+    texts = [t for w in whole for t in (w, w[:20] + "X" + w[20:], w[:10] + w[13:], w[::-1])]
+    lines = spark.createDataFrame([(i, i % 40, len(t), t) for i, t in enumerate(texts)], "node long, root long, size int, norm string")
+    traits = line_dedup.fingerprints(lines.drop("root")).groupBy("node").agg(F.first(F.struct("size", "sim", "low", "high")).alias("trait"))
+    every = lines.join(traits, "node").select(F.struct("node", "root", "trait", F.col("norm").alias("load")).alias("x"))
+    found = line_dedup._alike_in_blocks(every.agg(F.collect_list("x").alias("outsiders"), F.collect_list("x").alias("members")))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Generate explode(members") == 1
+    one, two = (every.select(*[F.col(f"x.{c}").alias(f"{c}_{s}") for c in ("node", "root", "trait", "load")]) for s in "ab")
+    near = line_dedup._may({k: F.col(f"trait_a.{k}") for k in ("size", "sim", "low", "high")}, {k: F.col(f"trait_b.{k}") for k in ("size", "sim", "low", "high")})
+    pairs = [(r.node_a, r.root_b, r.node_b, r.load_a, r.load_b) for r in one.crossJoin(two).filter("root_a <> root_b").filter(near).collect()]
+    want: dict = {}
+    for a, root, b, x, y in pairs:
+        if duckdb.execute("SELECT levenshtein(?, ?)", [x, y]).fetchone()[0] <= int(max(len(x), len(y)) * line_dedup.EDITS):
+            want[a, root] = min(b, want.get((a, root), b))
+    assert want and {(r.a, r.b) for r in found.collect()} == {(a, b) for (a, _), b in want.items()}
