@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import heapq
 import os
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +27,11 @@ WINDOW = 2048
 PART = 256
 #: Documents and ids that one block holds at most, before it is packed.
 BLOCK_PARTS, BLOCK_IDS = 4096, 4 << 20
-WORDS_KEPT = 300_000
-#: The vocabulary's pieces break between a letter or digit and these.
-TAIL = ".,;:!?"
+WORDS_KEPT = 400_000
+#: The vocabulary's pieces break between a letter or digit and these: all ASCII marks but the apostrophe, which letters may follow.
+TAIL = string.punctuation.replace("'", "")
+#: The letters that a vocabulary of bytes has for bytes, where they aren't those of Latin-1.
+BYTES = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -101,26 +105,30 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.seen = Tokenizer.from_file(path), {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tail = "".join(c for c in TAIL if c not in {content[-1] for content in added})  # so that no such token is cut
+        self.model = self.tokenizer.model
+        self.whole = self._whole() and not any(content.isalpha() for content in added)
+
+    def _pieces(self, word: str) -> list[int]:
+        """The ids of a word of letters below U+0100, which is one piece: by the model alone, as normalising and splitting leave it."""
+        word = word.lower()
+        return [t.id for t in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(BYTES))]
+
+    def _whole(self) -> bool:
+        """Whether this vocabulary takes words of letters as they are, in lower case and byte by byte."""
+        letters = [c for c in map(chr, range(256)) if c.isalpha()]
+        words = [*letters, *map("".join, zip(letters, letters[1:], strict=False)), "".join(letters)]
+        return all(made.ids == self._pieces(w) for w, made in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True))
 
     def _learn(self, words: list[str]) -> None:
-        """Words of letters are one piece each, so that many can go as one text that is cut where pieces end."""
         letters, others = [], []
         for word in words:
-            (letters if word.isalpha() and max(word) < "\u0100" else others).append(word)
+            (letters if self.whole and word.isalpha() and (word.isascii() or max(word) < "\u0100") else others).append(word)
         for word, made in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            self.seen[word] = np.array(made.ids, "<u4").tobytes()
-        for at in range(0, len(letters), 2000):
-            some = letters[at : at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
-            data = ids.tobytes()
-            for word, start, stop in zip(some, [0, *ends], ends, strict=False):
-                self.seen[word] = data[start:stop]
-            if len(ends) != len(some):
-                raise ValueError("this vocabulary doesn't end each word of letters by a closing piece")
+            self.seen[word] = array("I", made.ids).tobytes()
+        for word in letters:
+            self.seen[word] = array("I", self._pieces(word)).tobytes()
 
     def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of these distinct words in a row, each one's start, and its number of ids."""
@@ -129,23 +137,24 @@ class Ids:
         seen = self.seen
         parts = list(map(seen.get, words))
         split, new = [], set()
-        for i, made in enumerate(parts):
-            if made is None:
-                word = words[i]
-                core = word.rstrip(TAIL) if word[-1:] in TAIL else word
-                if core and len(core) < len(word) and core[-1].isalnum() and core[-1] < "\u0100":
+        for i in [i for i, made in enumerate(parts) if made is None]:
+            word = core = words[i]
+            tail = ""
+            if word[-1:] in self.tail:
+                core = word.rstrip(self.tail)
+                if core and core[-1].isalnum() and core[-1] < "\u0100":
                     tail = word[len(core) :]
                     if tail not in seen:
                         new.add(tail)
                 else:
-                    core, tail = word, ""
-                split.append((i, word, core, tail))
-                if core not in seen:
-                    new.add(core)
+                    core = word
+            split.append((i, core, tail))
+            if core not in seen:
+                new.add(core)
         self._learn(list(new))
         seen[""] = b""
-        for i, word, core, tail in split:
-            parts[i] = seen[word] = seen[core] + seen[tail]
+        for i, core, tail in split:
+            parts[i] = seen[core] + seen[tail]
         sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         return np.frombuffer(b"".join(parts), "<u4"), np.cumsum(sizes) - sizes, sizes
 

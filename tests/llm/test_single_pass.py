@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pagewright.llm import exact_topk, license_scan, packing, token_counts
@@ -58,6 +59,28 @@ def test_differencing_fills_windows_evenly():
         packing.windows_of(np.array([4096]))
 
 
+def test_words_are_learned_without_encoding_each_as_a_text():
+    """Encoding a word as a text of its own takes longer than the model takes for it; marks at its end are no other word."""
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.n = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.n += sum(len(x.split(" ")) for x in texts)
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+    draw = random.Random(7)
+    words = sorted({"".join(draw.choice("abcdeéßñ") for _ in range(draw.randrange(2, 12))) for _ in range(500)})
+    texts = [f"{w} {w}&&& {w},*** {w}" for w in words] + ["a<|endoftext|> <|endoftext|>. <|endoftext|>&&& <|endoftext| b|> it's!! 's'. ª²³% é=\u0338 Ünder-- x_"]
+    ids = packing.Ids(packing.vocabulary_file())
+    plain = ids.tokenizer
+    ids.tokenizer = Counted(plain)
+    flat, sizes = ids.texts(pa.array(texts, pa.string()), 1)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [plain.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+    assert ids.tokenizer.n < 30
+
+
 def test_packing_takes_awkward_tables(spark):
     rows = packing.pack(cases.awkward(spark)).collect()
     assert {r.doc_id for r in rows} == {None, 1, 2, 3, 4, 5, 6, 7}
