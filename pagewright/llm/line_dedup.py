@@ -44,8 +44,11 @@ _COUNTERS = sum(1 << 8 * i for i in range(7))
 BITS = 128
 #: All but letters, marks, digits and line breaks; a line without any letter stands as it is.
 _NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
-#: Unsettled lines of a key that are paired by a join; more are compared block by block.
+#: Unsettled lines of a key that are paired by a join; of more, those are that share a segment.
 CROWD = 32
+#: Characters of a segment, and the length of the lines from which segments are so long. Disjoint ones fit in for one more than
+#: there may be edits, so that one at least stands in any line that is alike.
+SEGMENTS = {4: 0, 6: 12, 7: 28, 8: 72}
 #: Texts are moved in so many parts after each other, so that shuffle files of a part at most lie on disk.
 PARTS = 2
 #: Up to so many line numbers, 8 bytes each, are sent to every task; more are joined where they lie.
@@ -159,8 +162,36 @@ def _alike(x: Column, y: Column) -> Column:
     return F.when(F.abs(F.length(x) - F.length(y)) <= most, near).otherwise(False)
 
 
+def _segment_size(size: Column) -> Column:
+    return reduce(lambda x, q: F.when(size >= SEGMENTS[q], q).otherwise(x), list(SEGMENTS)[1:], F.lit(next(iter(SEGMENTS))))
+
+
+def _sharing_segments(crowds: DataFrame) -> DataFrame:
+    """(a, b) of lines of several groups of a key, all that may be alike among them: the longer line has one of the shorter
+    line's segments, moved by no more characters than may be edited.
+
+    A line of n characters is alike to none longer than n / 0.9, which allows n / 9 edits. Each spoils one of the disjoint
+    segments at most, so that one is whole of n / 9 and one more.
+    """
+    sized = crowds.withColumn("size", F.length("load")).withColumn("most_edits", F.floor(F.col("size") * EDITS).cast("int"))
+    own, least = _segment_size(F.col("size")), _segment_size(F.col("size") - F.col("most_edits"))
+    runs = lambda q: F.regexp_extract_all("load", F.concat(F.lit("(?s)(?=(.{"), q.cast("string"), F.lit("}))")), 1)
+    # outsiders meet all lines of the key; those of its largest group, which share a root, don't meet each other
+    outside = F.col("root") != F.col("most")
+    named = F.xxhash64("key", "q", "turn", "segment").alias("h")
+    place = F.transform(F.sequence(F.lit(0), F.floor(F.col("size") * (EDITS / (1 - EDITS)) + 1e-6).cast("int")), lambda i: F.struct((i * F.col("q")).alias("at"), F.substring("load", i * F.col("q") + 1, F.col("q")).alias("segment")))
+    held = sized.withColumn("q", own).select("key", "node", "root", "size", "q", F.when(outside, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias("turns"), F.explode(place).alias("s")).select("key", "node", "root", "size", "q", "s.*", F.explode("turns").alias("turn"))
+    asked = sized.select("key", "node", "root", "size", "most_edits", F.when(outside, 0).otherwise(1).alias("turn"), "load", F.explode(F.array_distinct(F.array(own, least))).alias("q"))
+    asked = asked.select("key", "node", "root", "size", "most_edits", "turn", "q", F.posexplode(runs(F.col("q"))).alias("at", "segment"))
+    one = held.select(named, F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("size").alias("size_x"), F.col("at").alias("at_x"))
+    two = asked.select(named, "node", "root", "size", "most_edits", "at")
+    near = (F.col("root_x") != F.col("root")) & (F.col("size_x") <= F.col("size")) & (F.col("size") - F.col("size_x") <= F.col("most_edits")) & (F.abs(F.col("at") - F.col("at_x")) <= F.col("most_edits"))
+    return one.join(two.hint("shuffle_hash"), "h").filter(near).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+
 def _alike_in_blocks(blocks: DataFrame) -> DataFrame:
-    """(a, b) of each outsider and, of every other group in its block, one line that is alike."""
+    """(a, b) of each outsider and, of every other group in its block, one line that is alike: all pairs, which the tests
+    hold ``_sharing_segments`` against."""
 
     # blocks are few bytes and much work, so they are dealt out by their number
     dealt = blocks.repartition(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -196,7 +227,7 @@ def decide(docs: DataFrame) -> DataFrame:
         two = pairs.join(texts.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
         return two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
 
-    roots = resolve(kept, keyed, _may, links, texts_of, _alike_in_blocks, CROWD)
+    roots = resolve(kept, keyed, _may, links, texts_of, crowd=CROWD, in_crowds=_sharing_segments)
     rooted = kinds.join(roots, "node", "left").select("h1", "h2", "first", "many", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), (F.bool_or("many") | (F.count("*") > 1)).alias("many")).filter("many").select("root", "stay")
     many = kept.write(rooted.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stay"))

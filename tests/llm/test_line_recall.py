@@ -124,3 +124,50 @@ def test_pairs_of_blocks_meet_as_rows_and_keep_their_links(spark):
         if duckdb.execute("SELECT levenshtein(?, ?)", [x, y]).fetchone()[0] <= int(max(len(x), len(y)) * line_dedup.EDITS):
             want[a, root] = min(b, want.get((a, root), b))
     assert want and {(r.a, r.b) for r in found.collect()} == {(a, b) for (a, _), b in want.items()}
+
+
+def test_crowded_lines_meet_by_segments(spark):
+    """Of a key's lines those meet that share a segment: no link is left out, and few others are compared."""
+    draw = random.Random(9)
+    syllables = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic é".split()
+    texts = []
+    for size in [*range(9, 75), 89, 90, 91, 150, 199, 300]:
+        for _ in range(4):
+            whole = list("".join(draw.choice(syllables) + draw.choice(["", "", " "]) for _ in range(size))[:size])
+            other = list(whole)
+            for _ in range(size // 9):
+                at, kind = draw.randrange(len(other)), draw.randrange(3)
+                other[at : at + 1] = [[], ["q"], [other[at], "z"]][kind]
+            longer = list(whole)
+            for _ in range(size // 9):
+                longer.insert(draw.randrange(len(longer)), "x")
+            texts += ["".join(whole), "".join(other), "".join(longer)]
+    # the first lines are the key's largest group; the others are groups of their own
+    rows = [(7, n, 0 if n < 30 else n, 0, x) for n, x in enumerate(texts)]
+    crowds = spark.createDataFrame(rows, "key long, node long, root long, most long, load string")
+    found = {(r.a, r.b) for r in line_dedup._sharing_segments(crowds).collect()}
+    assert not any(b < 30 for _, b in found)
+    code = {c: chr(33 + n) for n, c in enumerate(sorted({c for x in texts for c in x}))}  # a byte a letter, as DuckDB counts bytes
+    lines = pa.table({"n": list(range(len(texts))), "x": ["".join(code[c] for c in x) for x in texts]})  # noqa: F841
+    alike = duckdb.connect().sql("SELECT a.n, b.n FROM lines a JOIN lines b ON a.n < b.n AND b.n >= 30 AND abs(length(a.x) - length(b.x)) <= greatest(length(a.x), length(b.x)) // 10 WHERE levenshtein(a.x, b.x) <= greatest(length(a.x), length(b.x)) // 10").fetchall()
+    assert len(alike) > 200 and set(alike) <= found
+    assert len(found) < 0.02 * len(texts) * (len(texts) - 1) / 2
+
+
+def test_a_crowded_key_is_not_compared_pair_by_pair(spark):
+    """Several hundred short lines of one key, none alike but for two: their pairs aren't made."""
+    draw = random.Random(3)
+    texts = ["".join(draw.choice("abcdefgh ") for _ in range(40)) for _ in range(300)]
+    texts.append(texts[200][:20] + "X" + texts[200][21:])
+    kept, asked = line_dedup.Kept(spark), []
+    lines = spark.createDataFrame([(1, n, len(x), x) for n, x in enumerate(texts)], "key long, node long, size int, load string")
+
+    def links(pairs):
+        asked.append(pairs.count())
+        two = pairs.join(lines.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(lines.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
+        return two.filter(line_dedup._alike(F.col("x"), F.col("y"))).select("a", "b")
+
+    keyed = lines.select("key", "node", F.struct("size").alias("trait"))
+    roots = line_dedup.resolve(kept, keyed, lambda one, two: F.lit(True), links, lambda nodes: lines.select("node", "load").join(nodes, "node"), crowd=32, in_crowds=line_dedup._sharing_segments)
+    assert [tuple(r) for r in roots.orderBy("node").collect()] == [(200, 200), (300, 200)]
+    assert sum(asked) < 30 * len(texts)
