@@ -44,7 +44,7 @@ _COUNTERS = sum(1 << 8 * i for i in range(7))
 BITS = 128
 #: All but letters, marks, digits and line breaks; a line without any letter stands as it is.
 _NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
-#: Unsettled lines of a key that are paired by a join; of more, those are that share a segment.
+#: Unsettled lines of a key that are paired by a join; of more, the short ones are that share a segment.
 CROWD = 32
 #: Characters of a segment, and the length of the lines from which segments are so long. Disjoint ones fit in for one more than
 #: there may be edits, so that one at least stands in any line that is alike.
@@ -189,6 +189,29 @@ def _sharing_segments(crowds: DataFrame) -> DataFrame:
     return one.join(two.hint("shuffle_hash"), "h").filter(near).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
+def _long_in_keys(crowds: DataFrame) -> DataFrame:
+    """(a, b) of lines of several groups of a key whose lengths allow a link, each pair in one key alone.
+
+    For keys of more than runs of two letters: lines that share one are much the same text and hold most of each other's
+    segments, so that segments would leave out hardly a pair, and give it once for each of them.
+    """
+    keys = crowds.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    lines = crowds.select("key", "node", "root", F.col("trait.size").alias("size"), (F.col("root") != F.col("most")).alias("outside")).join(keys, "node")
+    one, two = (df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "size", "outside", "keys")]) for s, df in (("a", lines.filter("outside")), ("b", lines)))
+    once = ~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))
+    near = F.abs(F.col("size_a") - F.col("size_b")) <= F.floor(F.greatest("size_a", "size_b") * EDITS)
+    first = F.col("key") == F.array_min(F.array_intersect("keys_a", "keys_b"))
+    return one.join(two, "key").filter((F.col("root_a") != F.col("root_b")) & once & near & first).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+
+def _in_crowds(kept: Kept, crowds: DataFrame) -> DataFrame:
+    """Pairs of crowded keys: by segments where the features are runs of two letters, whose bits are then set, as many
+    unlike lines share such a key; by lengths alone where they are not. A pair is met in a key where one of both is outside
+    its largest group, as lines of one group aren't paired in any."""
+    short = (F.col("trait.low") != 0) | (F.col("trait.high") != 0)
+    return _sharing_segments(crowds.filter(short)).unionByName(_long_in_keys(crowds.filter(~short)))
+
+
 def _alike_in_blocks(blocks: DataFrame) -> DataFrame:
     """(a, b) of each outsider and, of every other group in its block, one line that is alike: all pairs, which the tests
     hold ``_sharing_segments`` against."""
@@ -227,7 +250,7 @@ def decide(docs: DataFrame) -> DataFrame:
         two = pairs.join(texts.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
         return two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
 
-    roots = resolve(kept, keyed, _may, links, texts_of, crowd=CROWD, in_crowds=_sharing_segments)
+    roots = resolve(kept, keyed, _may, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds))
     rooted = kinds.join(roots, "node", "left").select("h1", "h2", "first", "many", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), (F.bool_or("many") | (F.count("*") > 1)).alias("many")).filter("many").select("root", "stay")
     many = kept.write(rooted.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stay"))

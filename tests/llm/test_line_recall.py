@@ -171,3 +171,20 @@ def test_a_crowded_key_is_not_compared_pair_by_pair(spark):
     roots = line_dedup.resolve(kept, keyed, lambda one, two: F.lit(True), links, lambda nodes: lines.select("node", "load").join(nodes, "node"), crowd=32, in_crowds=line_dedup._sharing_segments)
     assert [tuple(r) for r in roots.orderBy("node").collect()] == [(200, 200), (300, 200)]
     assert sum(asked) < 30 * len(texts)
+
+
+def test_long_lines_of_crowded_keys_are_paired_once(spark):
+    """Long lines of a key share most segments: a pair would be a row for each of them, and for each key."""
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(4, 8)))
+    passage = " ".join(word() for _ in range(60))
+    texts = [" ".join(word() for _ in range(draw.randrange(8, 20))) + " " + passage for _ in range(50)]
+    texts += [x[:30] + "7" + x[31:] for x in texts[40:]]
+    # the first lines are each key's largest group; bits of far SimHashes leave out no pair
+    rows = [(key, n, 0 if n < 8 else n, 0, (len(x), draw.getrandbits(55), 0, 0), x) for n, x in enumerate(texts) for key in (7, 8, 9) if (n + key) % 4]
+    crowds = spark.createDataFrame(rows, "key long, node long, root long, most long, trait struct<size: int, sim: long, low: long, high: long>, load string")
+    found = [(r.a, r.b) for r in line_dedup._in_crowds(line_dedup.Kept(spark), crowds).collect()]
+    near = lambda a, b: abs(len(texts[a]) - len(texts[b])) <= max(len(texts[a]), len(texts[b])) // 10
+    met = lambda a, b: any((a + k) % 4 and (b + k) % 4 for k in (7, 8, 9))
+    assert sorted(found) == [(a, b) for a in range(len(texts)) for b in range(max(a + 1, 8), len(texts)) if near(a, b) and met(a, b)]
+    assert {(n, n + 10) for n in range(40, 50)} <= set(found)
