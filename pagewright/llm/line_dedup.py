@@ -51,6 +51,8 @@ CROWD = 32
 SEGMENTS = {4: 0, 6: 12, 7: 28, 8: 72}
 #: Texts are moved in so many parts after each other, so that shuffle files of a part at most lie on disk.
 PARTS = 2
+#: So are the segments of crowded keys, by key.
+KEY_PARTS = 4
 #: Up to so many line numbers, 8 bytes each, are sent to every task; more are joined where they lie.
 FEW = 500_000
 
@@ -209,7 +211,9 @@ def _in_crowds(kept: Kept, crowds: DataFrame) -> DataFrame:
     unlike lines share such a key; by lengths alone where they are not. A pair is met in a key where one of both is outside
     its largest group, as lines of one group aren't paired in any."""
     short = (F.col("trait.low") != 0) | (F.col("trait.high") != 0)
-    return _sharing_segments(crowds.filter(short)).unionByName(_long_in_keys(crowds.filter(~short)))
+    # a part after the other, so that the segments of a part at most lie on disk
+    parts = [_sharing_segments(crowds.filter(short & (F.pmod(F.xxhash64("key"), F.lit(KEY_PARTS)) == i))) for i in range(KEY_PARTS)]
+    return reduce(DataFrame.unionByName, [kept.write(found) for found in [*parts, _long_in_keys(crowds.filter(~short))]])
 
 
 def _alike_in_blocks(blocks: DataFrame) -> DataFrame:

@@ -188,3 +188,22 @@ def test_long_lines_of_crowded_keys_are_paired_once(spark):
     met = lambda a, b: any((a + k) % 4 and (b + k) % 4 for k in (7, 8, 9))
     assert sorted(found) == [(a, b) for a in range(len(texts)) for b in range(max(a + 1, 8), len(texts)) if near(a, b) and met(a, b)]
     assert {(n, n + 10) for n in range(40, 50)} <= set(found)
+
+
+def test_segments_are_shuffled_part_by_part(spark, monkeypatch):
+    """Each crowded key's segments are in one part, and a part is written before the next one begins."""
+    rows = [(key, 10 * key + n, 10 * key + n, 10 * key, (40, n, 1, 0), f"{key:03d} {'ab cd ef gh ' * 3}") for key in range(40) for n in range(3)]
+    crowds = spark.createDataFrame(rows, "key long, node long, root long, most long, trait struct<size: int, sim: long, low: long, high: long>, load string")
+    kept, parts, before, share = line_dedup.Kept(spark), [], [], line_dedup._sharing_segments
+
+    def watched(part):
+        parts.append({r.key for r in part.collect()})
+        return share(part)
+
+    write = kept.write
+    monkeypatch.setattr(line_dedup, "_sharing_segments", watched)
+    monkeypatch.setattr(kept, "write", lambda df, *a: before.append(df.count()) or write(df, *a))
+    found = {(r.a, r.b) for r in line_dedup._in_crowds(kept, crowds).collect()}
+    assert found == {(10 * k + a, 10 * k + b) for k in range(40) for a in range(3) for b in range(a + 1, 3)}
+    assert sum(map(len, parts)) == len(set().union(*parts)) == 40 and max(map(len, parts)) < 20
+    assert sorted(before) == sorted([*[3 * len(p) for p in parts], 0])
