@@ -42,6 +42,9 @@ _COUNTERS = sum(1 << 8 * i for i in range(7))
 #: Bits for the runs of two letters that a line has. An edit takes at most two of them away, so that a line may lack at most
 #: twice as many of the other's bits as characters may be edited. Longer lines hold most bits, and have none set.
 BITS = 128
+#: Letters that are counted for each line, a byte each; a last count is of all other characters. Half the sum of what two lines'
+#: counts and lengths differ by is at most the number of edits between them.
+LETTERS_COUNTED = " entihaorsdulcg"
 #: All but letters, marks, digits and line breaks; a line without any letter stands as it is.
 _NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
 #: Unsettled lines of a key that are paired by a join; of more, the short ones are that share a segment.
@@ -99,19 +102,28 @@ def _kinds(size: Column) -> Column:
     return F.array_compact(F.array(*found))
 
 
+def _letters(norm: Column, size: Column) -> list[Column]:
+    """Two sums of eight bytes with how often the line has each letter of ``LETTERS_COUNTED`` and any other; 255 stands for more."""
+    held = [F.octet_length(norm) - F.octet_length(F.replace(norm, F.lit(x), F.lit(""))) for x in LETTERS_COUNTED]
+    held.append(size - sum(held[1:], held[0]))
+    counts = [F.shiftleft(F.least(n, F.lit(255)).cast("long"), 8 * (i % 8)) for i, n in enumerate(held)]
+    return [reduce(lambda x, y: x.bitwiseOR(y), counts[:8]).alias("letters"), reduce(lambda x, y: x.bitwiseOR(y), counts[8:]).alias("others")]
+
+
 def fingerprints(lines: DataFrame) -> DataFrame:
-    """node, sim, low, high, keys of lines (node, size, norm): for each of a line's kinds and levels its SimHash, the bits of
-    its runs of two letters if they are its features, and a key for each block with enough features, as others would tell
-    nothing. Votes are sums, made where the lines lie if node deals them out."""
-    own = lines.select("node", "size", "norm", F.explode(_kinds(F.col("size"))).alias("kind")).select("node", "size", "norm", "kind.*")
+    """node, sim, low, high, letters, others, keys of lines (node, size, norm): for each of a line's kinds and levels its SimHash, the
+    bits of its runs of two letters if they are its features, the counts of its letters, and a key for each block with enough
+    features, as others would tell nothing. Votes are sums, made where the lines lie if node deals them out."""
+    counted = lines.select("node", "size", "norm", *_letters(F.col("norm"), F.col("size")))
+    own = counted.select("node", "size", "letters", "others", "norm", F.explode(_kinds(F.col("size"))).alias("kind")).select("node", "size", "letters", "others", "norm", "kind.*")
     runs = {n: F.regexp_extract_all("norm", F.lit(f"(?s)(?=({'.' * n}))"), 1) for n in (2, 4)}
     n_words = F.col("size") - F.length(F.replace("norm", F.lit(" "))) + 1
     features = F.when(F.col("tag") < 2, runs[2]).when((F.col("tag") == 2) | (n_words * FEW_WORDS < F.col("size")), runs[4]).otherwise(F.split("norm", " "))
-    own = own.select("node", "size", "tag", "level", F.array_distinct(features).alias("features"))
+    own = own.select("node", "size", "letters", "others", "tag", "level", F.array_distinct(features).alias("features"))
     dull = (F.col("tag") > 1) & (F.size("features") < DULL) & (F.col("size") < DULL_SIZE)
     levels = F.when(dull, F.sequence(F.lit(0), F.lit(DEALS - 1))).otherwise(F.array("level"))
-    own = own.select("node", "size", F.when(dull, len(KINDS)).otherwise(F.col("tag")).alias("tag"), F.explode(levels).alias("level"), "features")
-    line = ["node", "size", "tag", "level"]
+    own = own.select("node", "size", "letters", "others", F.when(dull, len(KINDS)).otherwise(F.col("tag")).alias("tag"), F.explode(levels).alias("level"), "features")
+    line = ["node", "size", "letters", "others", "tag", "level"]
     each = own.select(*line, F.explode("features").alias("feature")).filter((F.col("tag") != 3) | (F.length("feature") >= LETTERS)).select(*line, F.when(F.col("tag") == len(KINDS), F.xxhash64("feature", "level")).otherwise(F.xxhash64("feature")).alias("h"))
     voting = each.filter((F.col("tag") == len(KINDS)) | (F.col("h").bitwiseAND(F.expr("shiftleft(1L, level) - 1")) == 0))
     zero = F.lit(0).cast("long")
@@ -125,7 +137,7 @@ def fingerprints(lines: DataFrame) -> DataFrame:
     whole = [F.coalesce(F.try_sum(x), zero).alias(f"s{i}") for i, x in enumerate(sums)]
     voted = keyed.groupBy(*line).agg(*whole, F.bit_or("low").alias("low"), F.bit_or("high").alias("high"), F.sum("n").cast("int").alias("n"), *[F.max(F.when(F.col("block") == b, F.col("key"))).alias(f"key_{b}") for b in range(BLOCKS)])
     sim = F.when(F.col("tag") == len(KINDS), zero).otherwise(majority(sums, F.col("n")))  # that of a few features tells nothing
-    return voted.select("node", "size", sim.alias("sim"), "low", "high", F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
+    return voted.select("node", "size", sim.alias("sim"), "low", "high", "letters", "others", F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
 
 
 def _may(one: Column, two: Column) -> Column:
@@ -136,6 +148,19 @@ def _may(one: Column, two: Column) -> Column:
     return (F.abs(a - b) <= most) & (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR) & lacks(one, two) & lacks(two, one)
 
 
+def _letters_allow(one: Column, two: Column) -> Column:
+    """Lengths and counts of letters allow a link: an edit makes one letter less, another one more, or both. Unlike the bits of
+    runs, counts tell lines of any length apart."""
+    a, b = one["size"], two["size"]
+    byte = lambda x, i: F.shiftrightunsigned(x, i).bitwiseAND(F.lit(255))
+    apart = [F.abs(byte(one[w], i) - byte(two[w], i)) for w in ("letters", "others") for i in range(0, 64, 8)]
+    return sum(apart[1:], apart[0]) + F.abs(a - b) <= 2 * F.floor(F.greatest(a, b) * EDITS)
+
+
+def _near(one: Column, two: Column) -> Column:
+    return _may(one, two) & _letters_allow(one, two)
+
+
 def _shared(x: Column, y: Column) -> Column:
     """How many characters both start with, by halving steps."""
     same = lambda at, step: F.substring(x, at + 1, step) == F.substring(y, at + 1, step)
@@ -175,40 +200,45 @@ def _sharing_segments(crowds: DataFrame) -> DataFrame:
     A line of n characters is alike to none longer than n / 0.9, which allows n / 9 edits. Each spoils one of the disjoint
     segments at most, so that one is whole of n / 9 and one more.
     """
-    sized = crowds.withColumn("size", F.length("load")).withColumn("most_edits", F.floor(F.col("size") * EDITS).cast("int"))
+    size = F.length("load")
+    sized = crowds.select("key", "node", "root", "most", "load", size.alias("size"), F.struct(*_letters(F.col("load"), size)).alias("held")).select("*", "held.*").withColumn("most_edits", F.floor(F.col("size") * EDITS).cast("int"))
     own, least = _segment_size(F.col("size")), _segment_size(F.col("size") - F.col("most_edits"))
     runs = lambda q: F.regexp_extract_all("load", F.concat(F.lit("(?s)(?=(.{"), q.cast("string"), F.lit("}))")), 1)
     # outsiders meet all lines of the key; those of its largest group, which share a root, don't meet each other
     outside = F.col("root") != F.col("most")
     named = F.xxhash64("key", "q", "turn", "segment").alias("h")
     place = F.transform(F.sequence(F.lit(0), F.floor(F.col("size") * (EDITS / (1 - EDITS)) + 1e-6).cast("int")), lambda i: F.struct((i * F.col("q")).alias("at"), F.substring("load", i * F.col("q") + 1, F.col("q")).alias("segment")))
-    held = sized.withColumn("q", own).select("key", "node", "root", "size", "q", F.when(outside, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias("turns"), F.explode(place).alias("s")).select("key", "node", "root", "size", "q", "s.*", F.explode("turns").alias("turn"))
-    asked = sized.select("key", "node", "root", "size", "most_edits", F.when(outside, 0).otherwise(1).alias("turn"), "load", F.explode(F.array_distinct(F.array(own, least))).alias("q"))
-    asked = asked.select("key", "node", "root", "size", "most_edits", "turn", "q", F.posexplode(runs(F.col("q"))).alias("at", "segment"))
-    one = held.select(named, F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("size").alias("size_x"), F.col("at").alias("at_x"))
-    two = asked.select(named, "node", "root", "size", "most_edits", "at")
+    held = sized.withColumn("q", own).select("key", "node", "root", "size", "letters", "others", "q", F.when(outside, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias("turns"), F.explode(place).alias("s")).select("key", "node", "root", "size", "letters", "others", "q", "s.*", F.explode("turns").alias("turn"))
+    asked = sized.select("key", "node", "root", "size", "letters", "others", "most_edits", F.when(outside, 0).otherwise(1).alias("turn"), "load", F.explode(F.array_distinct(F.array(own, least))).alias("q"))
+    asked = asked.select("key", "node", "root", "size", "letters", "others", "most_edits", "turn", "q", F.posexplode(runs(F.col("q"))).alias("at", "segment"))
+    one = held.select(named, F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("size").alias("size_x"), F.col("at").alias("at_x"), F.col("letters").alias("letters_x"), F.col("others").alias("others_x"))
+    two = asked.select(named, "node", "root", "size", "most_edits", "at", "letters", "others")
     near = (F.col("root_x") != F.col("root")) & (F.col("size_x") <= F.col("size")) & (F.col("size") - F.col("size_x") <= F.col("most_edits")) & (F.abs(F.col("at") - F.col("at_x")) <= F.col("most_edits"))
+    near = near & _letters_allow(*({c: F.col(f"{c}{end}") for c in ("size", "letters", "others")} for end in ("_x", "")))
     return one.join(two.hint("shuffle_hash"), "h").filter(near).select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
 
 def _long_in_keys(crowds: DataFrame) -> DataFrame:
-    """(a, b) of lines of several groups of a key whose lengths allow a link, each pair in one key alone.
+    """(a, b) of lines of several groups of a key whose lengths, and counts of letters if traits have them, allow a link, each pair in one key alone.
 
     For keys of more than runs of two letters: lines that share one are much the same text and hold most of each other's
     segments, so that segments would leave out hardly a pair, and give it once for each of them.
     """
     keys = crowds.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    lines = crowds.select("key", "node", "root", F.col("trait.size").alias("size"), (F.col("root") != F.col("most")).alias("outside")).join(keys, "node")
-    one, two = (df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "size", "outside", "keys")]) for s, df in (("a", lines.filter("outside")), ("b", lines)))
+    counts = [F.col(f"trait.{c}") for c in ("letters", "others") if c in crowds.schema["trait"].dataType.names]
+    lines = crowds.select("key", "node", "root", F.col("trait.size").alias("size"), (F.col("root") != F.col("most")).alias("outside"), *counts).join(keys, "node")
+    one, two = (df.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root", "size", "outside", "keys", *(["letters", "others"] if counts else []))]) for s, df in (("a", lines.filter("outside")), ("b", lines)))
     once = ~F.col("outside_b") | (F.col("node_a") < F.col("node_b"))
     near = F.abs(F.col("size_a") - F.col("size_b")) <= F.floor(F.greatest("size_a", "size_b") * EDITS)
+    if counts:
+        near = near & _letters_allow(*({c: F.col(f"{c}_{end}") for c in ("size", "letters", "others")} for end in "ab"))
     first = F.col("key") == F.array_min(F.array_intersect("keys_a", "keys_b"))
     return one.join(two, "key").filter((F.col("root_a") != F.col("root_b")) & once & near & first).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 
 def _in_crowds(kept: Kept, crowds: DataFrame) -> DataFrame:
     """Pairs of crowded keys: by segments where the features are runs of two letters, whose bits are then set, as many
-    unlike lines share such a key; by lengths alone where they are not. A pair is met in a key where one of both is outside
+    unlike lines share such a key; by lengths and letters where they are not. A pair is met in a key where one of both is outside
     its largest group, as lines of one group aren't paired in any."""
     short = (F.col("trait.low") != 0) | (F.col("trait.high") != 0)
     # a part after the other, so that the segments of a part at most lie on disk
@@ -242,7 +272,7 @@ def decide(docs: DataFrame) -> DataFrame:
     for i in range(PARTS):
         texts, own = (df.filter(F.pmod(F.xxhash64("node"), F.lit(PARTS)) == i) for df in (lines.select("node", "size", "norm"), kinds.select("node")))
         parts.append(kept.write(fingerprints(texts.repartition("node").join(own.hint("shuffle_hash"), "node", "left_semi"))))
-    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim", "low", "high").alias("trait"))
+    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim", "low", "high", "letters", "others").alias("trait"))
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         wanted = F.broadcast(nodes) if nodes.limit(FEW + 1).count() <= FEW else nodes
@@ -254,7 +284,7 @@ def decide(docs: DataFrame) -> DataFrame:
         two = pairs.join(texts.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
         return two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
 
-    roots = resolve(kept, keyed, _may, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds))
+    roots = resolve(kept, keyed, _near, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds))
     rooted = kinds.join(roots, "node", "left").select("h1", "h2", "first", "many", F.coalesce("root", "node").alias("root"))
     stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), (F.bool_or("many") | (F.count("*") > 1)).alias("many")).filter("many").select("root", "stay")
     many = kept.write(rooted.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stay"))

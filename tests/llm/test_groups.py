@@ -265,3 +265,26 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in pieces} == set(left)
     assert not any(i in left for i in range(700, 705)) and any(i in left for i in range(600, 605))
+
+
+def test_components_that_are_stars_need_no_round(spark):
+    kept = Kept(spark)
+    got = components(kept, spark.createDataFrame([(1, n) for n in range(2, 9)] + [(20, 21)], "a long, b long"))
+    assert kept.n == 1
+    assert {r.node: r.root for r in got.collect()} == {n: 1 for n in range(1, 9)} | {20: 20, 21: 20}
+
+
+def test_more_of_a_large_group_is_checked_before_all_pairs(spark):
+    """Lines of a crowded key that are linked to a few of its largest group find one of them before all its lines meet."""
+    kept, given = Kept(spark), []
+    nodes = [(1, n) for n in range(1000)]
+    keyed = spark.createDataFrame(nodes, "key long, node long").withColumn("trait", F.struct(F.lit(1).alias("one")))
+    near = lambda a, b: (F.col(b) < 900) & ((F.col(a) == 0) | (F.col(a) == F.col(b) - 1)) | (F.col(b) >= 900) & (F.col(a) % 20 == F.col(b) % 20) & (F.col(a) > 0) & (F.col(a) < 900)
+
+    def in_crowds(crowds):
+        given.append(crowds.filter("root <> most").count())
+        return crowds.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+
+    roots = links.resolve(kept, keyed, lambda one, two: F.lit(True), lambda pairs: pairs.filter(near("a", "b")), lambda df: df.withColumn("load", F.lit("")), crowd=32, in_crowds=in_crowds)
+    assert sum(given) <= 5
+    assert roots.filter("root = 0").count() >= 995

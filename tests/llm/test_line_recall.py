@@ -207,3 +207,34 @@ def test_segments_are_shuffled_part_by_part(spark, monkeypatch):
     assert found == {(10 * k + a, 10 * k + b) for k in range(40) for a in range(3) for b in range(a + 1, 3)}
     assert sum(map(len, parts)) == len(set().union(*parts)) == 40 and max(map(len, parts)) < 20
     assert sorted(before) == sorted([*[3 * len(p) for p in parts], 0])
+
+
+def test_letters_part_lines_of_any_length_but_no_edited_ones(spark):
+    """Counts of letters leave out pairs before texts are compared, and never one within the edits that are allowed."""
+    draw = random.Random(8)
+    rows, n = [], 0
+    for size in (12, 45, 150, 700, 3000):
+        for _ in range(12):
+            own = "".join(draw.choice(draw.choice(["aaaaab", "etaoin ", "xyzé漢"])) for _ in range(size))
+            x = list(own)
+            for at in draw.sample(range(size), size // 10):
+                x[at] = draw.choice(["", "q", x[at] + "z", " ", "漢"])
+            rows += [(n, own, "".join(x), True), (n + 1, own, "".join(draw.choice("etaoin") if c in "ab" else c for c in own), False)]
+            n += 2
+    df = spark.createDataFrame(rows, "n long, x string, y string, near boolean")
+    one, two = ({"size": F.length(c), **dict(zip(("letters", "others"), line_dedup._letters(F.col(c), F.length(c)), strict=True))} for c in "xy")
+    got = df.select("near", line_dedup._letters_allow(one, two).alias("may"), line_dedup._alike(F.col("x"), F.col("y")).alias("alike")).collect()
+    assert all(r.may for r in got if r.alike) and sum(r.alike for r in got) >= 60
+    far = [r.may for r in got if not r.near and not r.alike]
+    assert sum(far) < len(far) / 2  # of 3,000 characters, counts run full
+
+
+def test_long_lines_of_other_letters_are_not_paired(spark):
+    """In a crowded key, lines as long as each other but of other letters are no candidates."""
+    texts = [c * 300 for c in "etaoin"] + ["e" * 290 + "x" * 10]
+    rows = [(7, n, n, 0, x) for n, x in enumerate(texts)]
+    lines = spark.createDataFrame(rows, "key long, node long, root long, most long, load string")
+    traits = line_dedup.fingerprints(lines.select("node", F.length("load").alias("size"), F.col("load").alias("norm"))).groupBy("node").agg(F.first("letters").alias("letters"), F.first("others").alias("others"))
+    zero = F.lit(0).cast("long")
+    crowds = lines.join(traits, "node").withColumn("trait", F.struct(F.length("load").alias("size"), zero.alias("sim"), zero.alias("low"), zero.alias("high"), "letters", "others"))
+    assert [(r.a, r.b) for r in line_dedup._in_crowds(line_dedup.Kept(spark), crowds).collect()] == [(0, 6)]
