@@ -113,7 +113,8 @@ def _letters(norm: Column, size: Column) -> list[Column]:
 def fingerprints(lines: DataFrame) -> DataFrame:
     """node, sim, low, high, letters, others, keys of lines (node, size, norm): for each of a line's kinds and levels its SimHash, the
     bits of its runs of two letters if they are its features, the counts of its letters, and a key for each block with enough
-    features, as others would tell nothing. Votes are sums, made where the lines lie if node deals them out."""
+    features, as others would tell nothing. Votes are sums, made where the lines lie if node deals them out. Counts of letters aren't
+    made if they are dropped."""
     counted = lines.select("node", "size", "norm", *_letters(F.col("norm"), F.col("size")))
     own = counted.select("node", "size", "letters", "others", "norm", F.explode(_kinds(F.col("size"))).alias("kind")).select("node", "size", "letters", "others", "norm", "kind.*")
     runs = {n: F.regexp_extract_all("norm", F.lit(f"(?s)(?=({'.' * n}))"), 1) for n in (2, 4)}
@@ -123,19 +124,20 @@ def fingerprints(lines: DataFrame) -> DataFrame:
     dull = (F.col("tag") > 1) & (F.size("features") < DULL) & (F.col("size") < DULL_SIZE)
     levels = F.when(dull, F.sequence(F.lit(0), F.lit(DEALS - 1))).otherwise(F.array("level"))
     own = own.select("node", "size", "letters", "others", F.when(dull, len(KINDS)).otherwise(F.col("tag")).alias("tag"), F.explode(levels).alias("level"), "features")
-    line = ["node", "size", "letters", "others", "tag", "level"]
-    each = own.select(*line, F.explode("features").alias("feature")).filter((F.col("tag") != 3) | (F.length("feature") >= LETTERS)).select(*line, F.when(F.col("tag") == len(KINDS), F.xxhash64("feature", "level")).otherwise(F.xxhash64("feature")).alias("h"))
+    line, counts = ["node", "size", "tag", "level"], ["letters", "others"]
+    # an inner explode gets a filter on its array, which would make all features again for each of its conditions
+    each = own.select(*line, *counts, F.explode_outer("features").alias("feature")).filter(F.col("feature").isNotNull() & ((F.col("tag") != 3) | (F.length("feature") >= LETTERS))).select(*line, *counts, F.when(F.col("tag") == len(KINDS), F.xxhash64("feature", "level")).otherwise(F.xxhash64("feature")).alias("h"))
     voting = each.filter((F.col("tag") == len(KINDS)) | (F.col("h").bitwiseAND(F.expr("shiftleft(1L, level) - 1")) == 0))
     zero = F.lit(0).cast("long")
-    counted = [F.coalesce(F.try_sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_COUNTERS))), zero).alias(f"s{i}") for i in range(SUMS)]
+    votes = [F.coalesce(F.try_sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(_COUNTERS))), zero).alias(f"s{i}") for i in range(SUMS)]
     place = F.shiftright("h", 56).bitwiseAND(F.lit(BITS - 1)).cast("int")
     bit = lambda first: F.bit_or(F.when((F.col("tag") < 2) & (place >= first) & (place < first + 64), F.expr("1L << cast(shiftright(h, 56) & 63 AS int)")).otherwise(zero))
-    blocks = voting.groupBy(*line, F.pmod("h", F.lit(BLOCKS)).cast("int").alias("block")).agg(*counted, bit(0).alias("low"), bit(64).alias("high"), F.count("*").cast("int").alias("n"))
+    blocks = voting.groupBy(*line, F.pmod("h", F.lit(BLOCKS)).cast("int").alias("block")).agg(*votes, bit(0).alias("low"), bit(64).alias("high"), F.count("*").cast("int").alias("n"), *[F.max(c).alias(c) for c in counts])
     least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS.values()], F.lit(1)), F.col("tag") + 1)
     sums = [F.col(f"s{i}") for i in range(SUMS)]
     keyed = blocks.withColumn("key", F.when(F.col("n") >= least, F.xxhash64("tag", "level", "block", majority(sums, F.col("n")))))
     whole = [F.coalesce(F.try_sum(x), zero).alias(f"s{i}") for i, x in enumerate(sums)]
-    voted = keyed.groupBy(*line).agg(*whole, F.bit_or("low").alias("low"), F.bit_or("high").alias("high"), F.sum("n").cast("int").alias("n"), *[F.max(F.when(F.col("block") == b, F.col("key"))).alias(f"key_{b}") for b in range(BLOCKS)])
+    voted = keyed.groupBy(*line).agg(*whole, F.bit_or("low").alias("low"), F.bit_or("high").alias("high"), F.sum("n").cast("int").alias("n"), *[F.max(c).alias(c) for c in counts], *[F.max(F.when(F.col("block") == b, F.col("key"))).alias(f"key_{b}") for b in range(BLOCKS)])
     sim = F.when(F.col("tag") == len(KINDS), zero).otherwise(majority(sums, F.col("n")))  # that of a few features tells nothing
     return voted.select("node", "size", sim.alias("sim"), "low", "high", "letters", "others", F.array_compact(F.array(*[F.col(f"key_{b}") for b in range(BLOCKS)])).alias("keys"))
 
@@ -267,28 +269,34 @@ def decide(docs: DataFrame) -> DataFrame:
     # every line once with its text; what follows moves no text but that of one line of each kind
     lines = kept.write(lines_of(docs).withColumn("node", F.monotonically_increasing_id()), "zstd")
     place = F.struct(F.col("doc_id").isNull().alias("null"), *OWN, "line_no")
-    kinds = kept.write(lines.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.min(place).alias("first"), (F.count("*") > 1).alias("many")))
+    kinds = kept.write(lines.groupBy("h1", "h2").agg(F.min("node").alias("node"), (F.count("*") > 1).alias("many")))
     parts = []
     for i in range(PARTS):
         texts, own = (df.filter(F.pmod(F.xxhash64("node"), F.lit(PARTS)) == i) for df in (lines.select("node", "size", "norm"), kinds.select("node")))
-        parts.append(kept.write(fingerprints(texts.repartition("node").join(own.hint("shuffle_hash"), "node", "left_semi"))))
-    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim", "low", "high", "letters", "others").alias("trait"))
+        parts.append(kept.write(fingerprints(texts.repartition("node").join(own.hint("shuffle_hash"), "node", "left_semi")).drop("letters", "others")))
+    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim", "low", "high").alias("trait"))
 
     def texts_of(nodes: DataFrame) -> DataFrame:
         wanted = F.broadcast(nodes) if nodes.limit(FEW + 1).count() <= FEW else nodes
         return lines.select("node", F.col("norm").alias("load")).join(wanted, "node", "left_semi")
 
+    def with_letters(members: DataFrame) -> DataFrame:
+        texts = texts_of(kept.write(members.select("node").distinct()))
+        counts = kept.write(texts.select("node", *_letters(F.col("load"), F.length("load"))))
+        return members.join(counts.hint("shuffle_hash"), "node").select("key", "node", "head", F.struct("trait.*", "letters", "others").alias("trait"))
+
     def links(pairs: DataFrame) -> DataFrame:
         nodes = kept.write(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
         texts = kept.write(texts_of(nodes))
         two = pairs.join(texts.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
         return two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
 
-    roots = resolve(kept, keyed, _near, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds))
-    rooted = kinds.join(roots, "node", "left").select("h1", "h2", "first", "many", F.coalesce("root", "node").alias("root"))
-    stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), (F.bool_or("many") | (F.count("*") > 1)).alias("many")).filter("many").select("root", "stay")
-    many = kept.write(rooted.select("h1", "h2", "root").join(stays, "root").select("h1", "h2", "stay"))
-    lost = lines.select(*OWN, "line_no", "h1", "h2").join(many, ["h1", "h2"]).filter(place != F.col("stay"))
+    roots = resolve(kept, keyed, _near, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds), shared=with_letters)
+    # every node of roots has a link
+    many = kept.write(kinds.join(roots, "node", "left").filter(F.col("many") | F.col("root").isNotNull()).select("h1", "h2", F.coalesce("root", "node").alias("root")))
+    placed = kept.write(lines.select(*OWN, "line_no", "h1", "h2").join(many.hint("shuffle_hash"), ["h1", "h2"]).select(*OWN, "line_no", "root"))
+    stays = kept.write(placed.groupBy("root").agg(F.min(place).alias("stay")))
+    lost = placed.join(stays, "root").filter(place != F.col("stay"))
     dropped = kept.write(lost.groupBy(*OWN).agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
     kept.keep_only(dropped)
     return dropped

@@ -238,3 +238,27 @@ def test_long_lines_of_other_letters_are_not_paired(spark):
     zero = F.lit(0).cast("long")
     crowds = lines.join(traits, "node").withColumn("trait", F.struct(F.length("load").alias("size"), zero.alias("sim"), zero.alias("low"), zero.alias("high"), "letters", "others"))
     assert [(r.a, r.b) for r in line_dedup._in_crowds(line_dedup.Kept(spark), crowds).collect()] == [(0, 6)]
+
+
+def test_features_are_made_once_and_letters_only_where_asked_for(spark):
+    """Filters that the optimizer adds must not make a line's features again; counts of letters are for lines that share a key."""
+    lines = spark.createDataFrame([(0, 40, "ab cd ef gh " * 3 + "last"), (1, 0, "")], "node long, size int, norm string")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    every = line_dedup.fingerprints(lines)
+    assert plan(every).count("array_distinct(") == 1 and "octet_length(" in plan(every)
+    assert "octet_length(" not in plan(every.drop("letters", "others"))
+    assert [(r.node, r.letters & 255, bool(r.keys)) for r in every.collect()] == [(0, 12, True)]
+
+
+def test_only_lines_that_share_a_key_are_asked_for_more_traits(spark):
+    """Two of many lines share a key: traits that tell pairs apart are made of these alone, and all pairs are tested by them."""
+    kept, asked = line_dedup.Kept(spark), []
+    keyed = spark.createDataFrame([(n // 2 if n < 4 else n, n, (n % 2,)) for n in range(40)], "key long, node long, trait struct<odd: int>")
+
+    def shared(members):
+        asked.append({r.node for r in members.collect()})
+        return members.select("key", "node", "head", F.struct("trait.*", (F.col("node") < 2).alias("low")).alias("trait"))
+
+    roots = line_dedup.resolve(kept, keyed, lambda one, two: one["low"] & two["low"], lambda pairs: pairs, lambda nodes: nodes.withColumn("load", F.lit("")), shared=shared, crowd=32, in_crowds=lambda crowds: crowds.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    assert sorted(tuple(r) for r in roots.collect()) == [(0, 0), (1, 0)]
+    assert asked == [{0, 1, 2, 3}]
