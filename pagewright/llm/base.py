@@ -98,6 +98,18 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def uncoalesced(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, rows of few bytes and much work stay in all of a shuffle's tasks; in jobs that run at once."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``limit`` bytes of text; a longer text is a piece of its own, whole."""
     if not batch.num_rows:

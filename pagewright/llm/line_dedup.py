@@ -14,12 +14,13 @@ overlap by more than a tenth, so that lines that may be alike always have blocks
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.base import Kept, table
+from pagewright.llm.base import Kept, table, uncoalesced
 from pagewright.llm.links import resolve
 
 #: The share of characters that may be edited; bits of two SimHashes that may differ (unrelated lines: 28 on average).
@@ -56,8 +57,9 @@ SEGMENTS = {4: 0, 6: 12, 7: 28, 8: 72}
 PARTS = 2
 #: So are the segments of crowded keys, by key.
 KEY_PARTS = 4
-#: Up to so many line numbers, 8 bytes each, are sent to every task; more are joined where they lie.
-FEW = 500_000
+#: Lines are sought by pages of bits, one for each of 4,096 line numbers. Up to so many pages, some 600 bytes each, are sent to every
+#: task; more lines are joined where their numbers lie.
+FEW = 100_000
 
 
 def own_key() -> list[Column]:
@@ -263,6 +265,19 @@ def _alike_in_blocks(blocks: DataFrame) -> DataFrame:
     return found.groupBy("a", "root").agg(F.min("b").alias("b")).select("a", "b")
 
 
+def _pages(nodes: DataFrame) -> DataFrame:
+    """page, bits: for each 4,096 numbers among which are some of ``nodes``, 64 longs with a bit for each that is. Numbers may repeat."""
+    words = nodes.groupBy(F.shiftright("node", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(node & 63L AS int))")).alias("bits"))
+    held = words.groupBy(F.shiftright("word", 6).alias("page")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("word").bitwiseAND(F.lit(63)).cast("int").alias("at"), "bits"))).alias("held"))
+    return held.select("page", F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0).cast("long"))).alias("bits"))
+
+
+def _on_pages(df: DataFrame, pages: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose node has a bit; they stay where they lie."""
+    bit = F.expr("getbit(get(bits, cast(shiftright(node, 6) & 63L AS int)), cast(node & 63L AS int)) = 1")
+    return df.join(F.broadcast(pages), (F.shiftright("node", 12) == F.col("page")) & bit).select(*df.columns)
+
+
 def decide(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, text_hash2, dropped (line numbers from 0, ascending): documents that lose lines."""
     kept = Kept(docs.sparkSession)
@@ -274,24 +289,32 @@ def decide(docs: DataFrame) -> DataFrame:
     for i in range(PARTS):
         texts, own = (df.filter(F.pmod(F.xxhash64("node"), F.lit(PARTS)) == i) for df in (lines.select("node", "size", "norm"), kinds.select("node")))
         parts.append(kept.write(fingerprints(texts.repartition("node").join(own.hint("shuffle_hash"), "node", "left_semi")).drop("letters", "others")))
-    keyed = reduce(DataFrame.unionByName, parts).select(F.explode("keys").alias("key"), "node", F.struct("size", "sim", "low", "high").alias("trait"))
+    traits = reduce(DataFrame.unionByName, parts)
+    # traits are moved for the few lines that share a key, and their exchange is one for the heads and for their members
+    keyed = traits.select(F.explode("keys").alias("key"), "node")
+
+    def among(nodes: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        pages = kept.write(_pages(nodes))
+        few = pages.count() <= FEW
+        return lambda df: _on_pages(df, pages) if few else df.join(nodes, "node", "left_semi")
 
     def texts_of(nodes: DataFrame) -> DataFrame:
-        wanted = F.broadcast(nodes) if nodes.limit(FEW + 1).count() <= FEW else nodes
-        return lines.select("node", F.col("norm").alias("load")).join(wanted, "node", "left_semi")
+        return among(nodes)(lines.select("node", F.col("norm").alias("load")))
 
-    def with_letters(members: DataFrame) -> DataFrame:
-        texts = texts_of(kept.write(members.select("node").distinct()))
-        counts = kept.write(texts.select("node", *_letters(F.col("load"), F.length("load"))))
-        return members.join(counts.hint("shuffle_hash"), "node").select("key", "node", "head", F.struct("trait.*", "letters", "others").alias("trait"))
+    def with_traits(members: DataFrame) -> DataFrame:
+        wanted = among(members.select("node"))
+        counts = wanted(lines.select("node", "norm")).select("node", *_letters(F.col("norm"), F.length("norm")))
+        own = wanted(traits).join(counts.hint("shuffle_hash"), "node").select("node", "keys", F.struct("size", "sim", "low", "high", "letters", "others").alias("trait"))
+        # a line has traits of each of its kinds and levels, and a key is of one of them
+        return members.join(own.hint("shuffle_hash"), "node").filter(F.array_contains("keys", F.col("key"))).select("key", "node", "head", "trait")
 
     def links(pairs: DataFrame) -> DataFrame:
-        nodes = kept.write(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-        texts = kept.write(texts_of(nodes))
+        texts = kept.write(texts_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))))
         two = pairs.join(texts.select(F.col("node").alias("a"), F.col("load").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("load").alias("y")), "b")
-        return two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b")
+        with uncoalesced(docs.sparkSession):
+            return kept.write(two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b"))
 
-    roots = resolve(kept, keyed, _near, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds), shared=with_letters)
+    roots = resolve(kept, keyed, _near, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds), shared=with_traits)
     # every node of roots has a link
     many = kept.write(kinds.join(roots, "node", "left").filter(F.col("many") | F.col("root").isNotNull()).select("h1", "h2", F.coalesce("root", "node").alias("root")))
     placed = kept.write(lines.select(*OWN, "line_no", "h1", "h2").join(many.hint("shuffle_hash"), ["h1", "h2"]).select(*OWN, "line_no", "root"))

@@ -288,3 +288,11 @@ def test_more_of_a_large_group_is_checked_before_all_pairs(spark):
     roots = links.resolve(kept, keyed, lambda one, two: F.lit(True), lambda pairs: pairs.filter(near("a", "b")), lambda df: df.withColumn("load", F.lit("")), crowd=32, in_crowds=in_crowds)
     assert sum(given) <= 5
     assert roots.filter("root = 0").count() >= 995
+
+
+def test_keys_of_several_groups_carry_their_largest(spark):
+    """What is largest is found once for each round, from keys and groups alone."""
+    members = spark.createDataFrame([(k, n, (n,)) for k, n in [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (3, 5), (3, 6)]], "key long, node long, trait struct<x: long>")
+    roots = spark.createDataFrame([(0, 0), (1, 0)], "node long, root long")
+    got = sorted((r.key, r.node, r.root, r.most, r.nodes) for r in links._mixed(line_dedup.Kept(spark), members, roots).collect())
+    assert got == [(1, 0, 0, 0, 3), (1, 1, 0, 0, 3), (1, 2, 2, 0, 3), (3, 5, 5, 6, 2), (3, 6, 6, 6, 2)]

@@ -262,3 +262,34 @@ def test_only_lines_that_share_a_key_are_asked_for_more_traits(spark):
     roots = line_dedup.resolve(kept, keyed, lambda one, two: one["low"] & two["low"], lambda pairs: pairs, lambda nodes: nodes.withColumn("load", F.lit("")), shared=shared, crowd=32, in_crowds=lambda crowds: crowds.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
     assert sorted(tuple(r) for r in roots.collect()) == [(0, 0), (1, 0)]
     assert asked == [{0, 1, 2, 3}]
+
+
+def test_bits_tell_which_lines_are_wanted(spark):
+    """Line numbers far apart, at the edges of words and pages, and repeated ones."""
+    draw = random.Random(2)
+    numbers = [0, 1, 62, 63, 64, 4095, 4096, 8191, *[(p << 33) + n for p in (1, 7, 900) for n in (0, 63, 4095, 4096, 70_000)], *[draw.randrange(9_000) for _ in range(300)]]
+    every = sorted({*numbers, *[n + 1 for n in numbers], *range(9_000)})
+    nodes = spark.createDataFrame([(n,) for n in numbers + numbers[:20]], "node long")
+    pages = line_dedup._pages(nodes)
+    got = line_dedup._on_pages(spark.createDataFrame([(n, str(n)) for n in every], "node long, load string"), pages)
+    assert sorted(r.node for r in got.collect()) == sorted(set(numbers)) and got.columns == ["node", "load"]
+    assert pages.count() == len({n >> 12 for n in numbers})
+
+
+def test_texts_and_traits_of_lines_are_not_moved_to_find_partners(spark, monkeypatch):
+    """However many lines share a key, their texts stay where they lie; keys meet without traits, which only lines with a partner get."""
+    draw = random.Random(6)
+    texts = ["".join(draw.choice("abcdefgh ") for _ in range(60)) for _ in range(8)]
+    docs = cases.documents(spark, [t for x in texts for t in (x, x[:30] + "7" + x[31:])]).coalesce(2)
+    plans, write = [], line_dedup.Kept.write
+    monkeypatch.setattr(line_dedup, "FEW", 5)
+    monkeypatch.setattr(line_dedup.Kept, "write", lambda kept, df, *a: plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString())) or write(kept, df, *a))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sum(len(r.dropped) for r in line_dedup.decide(docs).collect()) == 8
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    letters = [p for _, p in plans if "octet_length(" in p]
+    assert letters and all("BroadcastHashJoin" in p for p in letters)
+    assert ["key", "node", "head"] in [c for c, _ in plans]
