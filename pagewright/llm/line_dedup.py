@@ -48,8 +48,9 @@ BITS = 128
 LETTERS_COUNTED = " entihaorsdulcg"
 #: All but letters, marks, digits and line breaks; a line without any letter stands as it is.
 _NO_WORD = r"[^\p{L}\p{M}\p{N}\n]+"
-#: Unsettled lines of a key that are paired by a join; of more, the short ones are that share a segment.
-CROWD = 32
+#: Unsettled lines of a key that are paired by a join where their SimHashes are near, and however far these are; of more lines, the
+#: short ones are paired that share a segment.
+CROWD, DIRECT = 32, 128
 #: Characters of a segment, and the length of the lines from which segments are so long. Disjoint ones fit in for one more than
 #: there may be edits, so that one at least stands in any line that is alike.
 SEGMENTS = {4: 0, 6: 12, 7: 28, 8: 72}
@@ -78,8 +79,10 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """
     low = docs.select(*own_key(), F.lower(F.col("text").cast("string")).alias("low"))
     both = F.arrays_zip(F.split(F.regexp_replace("low", _NO_WORD, " "), "\n").alias("words"), F.split("low", "\n").alias("line"))
-    split = low.select(*OWN, F.posexplode(both).alias("line_no", "both")).select(*OWN, "line_no", F.trim("both.words").alias("words"), F.trim(F.translate("both.line", "\t\r\x0b\f", "    ")).alias("line"))
-    normed = split.select(*OWN, "line_no", F.when(F.col("words") != "", F.col("words")).otherwise(F.col("line")).alias("norm")).filter("norm <> ''")
+    split = low.select(*OWN, F.posexplode(both).alias("line_no", "both")).select(*OWN, "line_no", F.trim("both.words").alias("words"), F.col("both.line").alias("line"))
+    # only lines without a word need their marks, which take long to trim
+    marks = F.trim(F.translate("line", "\t\r\x0b\f", "    "))
+    normed = split.select(*OWN, "line_no", F.when(F.col("words") != "", F.col("words")).otherwise(marks).alias("norm")).filter("norm <> ''")
     return normed.select("*", F.length("norm").alias("size"), F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"))
 
 
@@ -146,10 +149,15 @@ def fingerprints(lines: DataFrame) -> DataFrame:
 
 def _may(one: Column, two: Column) -> Column:
     """Lengths and runs of two letters allow a link, and SimHashes are near."""
+    return (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR) & _runs_allow(one, two)
+
+
+def _runs_allow(one: Column, two: Column) -> Column:
+    """Lengths and runs of two letters allow a link."""
     a, b = one["size"], two["size"]
     most = F.floor(F.greatest(a, b) * EDITS)
     lacks = lambda x, y: sum(F.bit_count(x[w].bitwiseAND(F.bitwise_not(y[w]))) for w in ("low", "high")) <= 2 * most
-    return (F.abs(a - b) <= most) & (F.bit_count(one["sim"].bitwiseXOR(two["sim"])) <= FAR) & lacks(one, two) & lacks(two, one)
+    return (F.abs(a - b) <= most) & lacks(one, two) & lacks(two, one)
 
 
 def _letters_allow(one: Column, two: Column) -> Column:
@@ -165,6 +173,11 @@ def _near(one: Column, two: Column) -> Column:
     return _may(one, two) & _letters_allow(one, two)
 
 
+def _wide(one: Column, two: Column) -> Column:
+    """All that a link needs, however far the SimHashes are."""
+    return _runs_allow(one, two) & _letters_allow(one, two)
+
+
 def _shared(x: Column, y: Column) -> Column:
     """How many characters both start with, by halving steps."""
     same = lambda at, step: F.substring(x, at + 1, step) == F.substring(y, at + 1, step)
@@ -314,7 +327,7 @@ def decide(docs: DataFrame) -> DataFrame:
         with uncoalesced(docs.sparkSession):
             return kept.write(two.filter(_alike(F.col("x"), F.col("y"))).select("a", "b"))
 
-    roots = resolve(kept, keyed, _near, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds), shared=with_traits)
+    roots = resolve(kept, keyed, _near, links, texts_of, crowd=CROWD, in_crowds=lambda crowds: _in_crowds(kept, crowds), shared=with_traits, direct=DIRECT, wide=_wide)
     # every node of roots has a link
     many = kept.write(kinds.join(roots, "node", "left").filter(F.col("many") | F.col("root").isNotNull()).select("h1", "h2", F.coalesce("root", "node").alias("root")))
     placed = kept.write(lines.select(*OWN, "line_no", "h1", "h2").join(many.hint("shuffle_hash"), ["h1", "h2"]).select(*OWN, "line_no", "root"))

@@ -293,3 +293,39 @@ def test_texts_and_traits_of_lines_are_not_moved_to_find_partners(spark, monkeyp
     letters = [p for _, p in plans if "octet_length(" in p]
     assert letters and all("BroadcastHashJoin" in p for p in letters)
     assert ["key", "node", "head"] in [c for c, _ in plans]
+
+
+def test_small_keys_are_compared_in_one_round_and_keys_of_two_in_none(spark):
+    """After the heads, small keys cost one exchange for all pairs across their groups; two nodes of a key are checked as its head and the other."""
+    draw = random.Random(12)
+    kept, asked = line_dedup.Kept(spark), []
+    group = {n: draw.choice([n, n % 7, n % 7]) for n in range(400)}  # those of a group are links
+    rows = [(key, n, (n % 3,)) for key, size in enumerate([2] * 30 + [3, 4, 5, 9, 20, 60] * 6) for n in draw.sample(range(400), size)]
+    keyed = spark.createDataFrame(rows, "key long, node long, trait struct<kind: int>")
+    same = spark.createDataFrame(list(group.items()), "node long, g long")
+
+    def links(pairs):
+        asked.append({(r.a, r.b) for r in pairs.collect()})
+        return pairs.join(same.select(F.col("node").alias("a"), F.col("g").alias("x")), "a").join(same.select(F.col("node").alias("b"), F.col("g").alias("y")), "b").filter("x = y").select("a", "b")
+
+    def found(rows, **more):
+        asked.clear()
+        loads = lambda nodes: nodes.withColumn("load", F.lit(""))
+        roots = line_dedup.resolve(kept, keyed.filter(F.col("key").isin(sorted({k for k, _, _ in rows}))), lambda one, two: one["kind"] == two["kind"], links, loads, in_crowds=lambda crowds: crowds.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0), **more)
+        return {r.node: r.root for r in roots.collect()}
+
+    def want(rows, crowd):
+        """Groups by all pairs of each key that may be links; of large keys, of any kind."""
+        keys, root = {}, {n: n for n in group}
+        for k, n, _ in rows:
+            keys.setdefault(k, []).append(n)
+        pairs = [(a, b) for nodes in keys.values() for a in nodes for b in nodes if a < b and group[a] == group[b] and (a % 3 == b % 3 or len(nodes) > crowd)]
+        for _ in range(50):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return {n: root[n] for pair in pairs for n in pair}
+
+    assert found(rows, crowd=32, direct=128, wide=lambda one, two: F.lit(True)) == want(rows, 32)
+    assert len(asked) == 2 and not asked[0] & asked[1]
+    two = rows[:60]
+    assert found(two) == want(two, 32) and len(asked) == 1
